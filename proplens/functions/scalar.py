@@ -86,6 +86,11 @@ def slug(name, suffix: str = "") -> Column:
     return F.concat(F.translate(F.lower(_c(name)), " -", "__"), F.lit(suffix))
 
 
+def slug_text(name: str, suffix: str = "") -> str:
+    """Driver-side twin of ``slug`` for building column names."""
+    return name.lower().replace(" ", "_").replace("-", "_") + suffix
+
+
 def format_money(x, digits: int = 2) -> Column:
     """``$1,234.50`` (a minus sign, if any, comes before the dollar sign)."""
     c = _c(x)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from proplens.functions.scalar import PRICE_BANDS, band_label, band_order, finite_or_null, safe_divide
-from proplens.operators.quantiles import exact_median
+from proplens.operators.quantiles import INLINE_LIMIT, exact_median, groups_fit_inline
 
 METRIC_COLUMNS = ["MAE", "RMSE", "MAPE", "MdAPE", "R2"]
 
@@ -62,7 +62,8 @@ def _metric_aggs(actual: str, predicted: str):
 
 def regression_metrics(df: DataFrame, actual: str = "ActualClosePrice",
                        predicted: str = "PredictedClosePrice", group_cols: Sequence[str] = (),
-                       rounded: bool = True, mdape_accuracy: int = 10000) -> DataFrame:
+                       rounded: bool = True, mdape_accuracy: int = 10000,
+                       inline_limit: int | None = INLINE_LIMIT) -> DataFrame:
     """MAE, RMSE, MAPE, MdAPE (percent, rows with actual = 0 skipped) and R^2.
 
     R^2 follows the usual library convention: fewer than two rows -> NULL; a
@@ -71,13 +72,12 @@ def regression_metrics(df: DataFrame, actual: str = "ActualClosePrice",
     groups = list(group_cols)
     a, p = F.col(actual), F.col(predicted)
     valid = a.isNotNull() & p.isNotNull() & (a != 0)
-    stats = df.groupBy(*groups).agg(*_metric_aggs(actual, predicted))
-    ape_df = df.select(*groups, F.when(valid, F.abs((a - p) / a)).alias("_ape"))
-    med = exact_median(ape_df, "_ape", groups, name="_mdape", accuracy=mdape_accuracy)
-    if groups:
-        joined = stats.join(med, groups, "left")
-    else:  # both sides are single-row global aggregates
-        joined = stats.crossJoin(F.broadcast(med.agg(F.max("_mdape").alias("_mdape"))))
+    ape = F.when(valid, F.abs((a - p) / a))
+    if inline_limit is not None and groups_fit_inline(df, groups, inline_limit):
+        # Every group is provably small: the exact median fuses into the one aggregate.
+        joined = df.groupBy(*groups).agg(*_metric_aggs(actual, predicted), F.median(ape).alias("_mdape"))
+    else:
+        joined = _with_distributed_mdape(df, ape, groups, actual, predicted, mdape_accuracy)
     r2 = (F.when(F.col("_na") < 2, F.lit(None).cast("double"))
            .when(F.col("_sstot") == 0, F.when(F.col("_ssres") == 0, 1.0).otherwise(0.0))
            .otherwise(1 - F.col("_ssres") / F.col("_sstot")))
@@ -90,6 +90,17 @@ def regression_metrics(df: DataFrame, actual: str = "ActualClosePrice",
     return joined.select(*groups, "ObservationCount", *[v.alias(k) for k, v in cols.items()])
 
 
+def _with_distributed_mdape(df, ape, groups, actual, predicted, accuracy):
+    stats = df.groupBy(*groups).agg(*_metric_aggs(actual, predicted))
+    ape_df = df.select(*groups, ape.alias("_ape"))
+    med = exact_median(ape_df, "_ape", groups, name="_mdape", accuracy=accuracy, inline_limit=None)
+    if groups:
+        joined = stats.join(med, groups, "left")
+    else:  # both sides are single-row global aggregates
+        joined = stats.crossJoin(F.broadcast(med.agg(F.max("_mdape").alias("_mdape"))))
+    return joined
+
+
 def metrics_by_band(df: DataFrame, actual: str = "ActualClosePrice",
                     predicted: str = "PredictedClosePrice", bands=PRICE_BANDS,
                     extra_groups: Sequence[str] = ()) -> DataFrame:

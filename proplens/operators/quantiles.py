@@ -15,8 +15,13 @@ rows) would sit in one executor's memory.  ``exact_quantiles`` instead:
    which is the exact answer numpy/pandas give.
 
 If a bracket ever misses its rank, that group alone is recomputed from its full
-value distribution (a semi-join on the missed groups; empty in practice, and
-adaptive execution then prunes that branch), so the result is always exact.
+value distribution (a semi-join on the missed groups; empty in practice), so
+the result is always exact.
+
+Groups that are provably small (the largest group has at most
+``inline_limit`` rows, checked with one count aggregate) use Spark's exact
+``percentile`` aggregate directly, which fuses into the caller's ``groupBy``
+and needs no extra passes; the per-group value map is then bounded.
 """
 
 from __future__ import annotations
@@ -27,6 +32,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _INF = float("inf")
+INLINE_LIMIT = 2_000_000
+
+
+def max_group_rows(df: DataFrame, group_cols: Sequence[str] = ()) -> int:
+    """Rows in the largest group (one small aggregate job)."""
+    groups = list(group_cols)
+    if not groups:
+        return df.count()
+    r = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()
+    return int(r[0] or 0)
+
+
+def groups_fit_inline(df: DataFrame, group_cols: Sequence[str] = (), inline_limit: int = INLINE_LIMIT) -> bool:
+    """True when every group is small enough for the built-in exact percentile."""
+    return max_group_rows(df, group_cols) <= inline_limit
 
 
 def _join_stats(df: DataFrame, stats: DataFrame, groups: list[str]) -> DataFrame:
@@ -67,16 +87,25 @@ def _extract(ranked: DataFrame, targets: DataFrame, groups: list[str], probs: Se
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
                     names: Sequence[str] | None = None, group_cols: Sequence[str] = (),
-                    accuracy: int = 10000) -> DataFrame:
+                    accuracy: int = 10000, inline_limit: int | None = INLINE_LIMIT) -> DataFrame:
     """Exact linear-interpolated quantiles of ``value_col`` (NULLs skipped).
 
     Returns one row per group that has at least one non-null value, with one
-    double column per probability.
+    double column per probability.  ``inline_limit=None`` forces the
+    distributed path.
     """
     groups = list(group_cols)
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
     base = df.select(*[F.col(g) for g in groups], F.col(value_col).cast("double").alias("_v")) \
              .where(F.col("_v").isNotNull())
+    if inline_limit is not None and groups_fit_inline(base, groups, inline_limit):
+        return base.groupBy(*groups).agg(
+            *[F.percentile("_v", F.lit(float(p))).alias(n) for p, n in zip(probs, names)])
+    return _distributed_quantiles(base, probs, names, groups, accuracy)
+
+
+def _distributed_quantiles(base: DataFrame, probs: Sequence[float], names: Sequence[str],
+                           groups: list[str], accuracy: int) -> DataFrame:
 
     margin = 3.0 / accuracy
     bracket_ps = []
@@ -112,8 +141,12 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
         F.when(in_any, v).alias("_vv"),
     ).groupBy(*groups, "_sv", "_tb", "_vv").agg(F.count(F.lit(1)).alias("_cnt"))
 
-    first = _extract(_rank_entries(entries, groups), targets, groups, probs, names)
+    # One row per group; checkpointed so the miss check below does not
+    # recompute it.
+    first = _extract(_rank_entries(entries, groups), targets, groups, probs, names).checkpoint(eager=True)
     ok = first.where(F.col("_missed") == 0).drop("_missed")
+    if first.where(F.col("_missed") > 0).isEmpty():
+        return ok
 
     # Exact fallback for any group whose bracket missed its rank.
     missed = first.where(F.col("_missed") > 0).select(*groups) if groups else \
@@ -130,5 +163,6 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
 
 
 def exact_median(df: DataFrame, value_col: str, group_cols: Sequence[str] = (),
-                 name: str = "median", accuracy: int = 10000) -> DataFrame:
-    return exact_quantiles(df, value_col, [0.5], [name], group_cols, accuracy)
+                 name: str = "median", accuracy: int = 10000,
+                 inline_limit: int | None = INLINE_LIMIT) -> DataFrame:
+    return exact_quantiles(df, value_col, [0.5], [name], group_cols, accuracy, inline_limit)
