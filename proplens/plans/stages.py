@@ -81,3 +81,43 @@ def predictions(spark: SparkSession, sf_dir: str, model: str | None = None) -> D
     train, test = train_test(spark, sf_dir)
     p = sql_predictions(train, test)
     return p.where(F.col("Model") == model).drop("Model") if model else p
+
+
+def validation_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three predictors fitted on the first 80 % of train, scored on the last 20 %."""
+    from proplens.operators.split import split_chronological
+    train, _ = train_test(spark, sf_dir)
+    fit, val, _ = split_chronological(train, DATE_COL, LINEITEM_KEYS, VALIDATION_FRACTION)
+    return sql_predictions(fit, val)
+
+
+def two_feature_ols(train: DataFrame, x1: str, x2: str, y: str = TARGET) -> DataFrame:
+    """Closed-form least squares with two features from one covariance aggregate (one row)."""
+    a = train.where(F.col(x1).isNotNull() & F.col(x2).isNotNull() & F.col(y).isNotNull())
+    s = a.agg(F.covar_pop(x1, x1).alias("s11"), F.covar_pop(x2, x2).alias("s22"),
+              F.covar_pop(x1, x2).alias("s12"), F.covar_pop(x1, y).alias("s1y"),
+              F.covar_pop(x2, y).alias("s2y"), F.avg(x1).alias("m1"), F.avg(x2).alias("m2"),
+              F.avg(y).alias("my"))
+    det = F.col("s11") * F.col("s22") - F.col("s12") * F.col("s12")
+    b1 = F.try_divide(F.col("s22") * F.col("s1y") - F.col("s12") * F.col("s2y"), det)
+    b2 = F.try_divide(F.col("s11") * F.col("s2y") - F.col("s12") * F.col("s1y"), det)
+    return s.select(b1.alias("b1"), b2.alias("b2"), "m1", "m2", "my").select(
+        "b1", "b2", (F.col("my") - F.col("b1") * F.col("m1") - F.col("b2") * F.col("m2")).alias("b0"))
+
+
+def feature_set_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test predictions of OLS on the original feature vs with an engineered feature added."""
+    from proplens.operators.features import create_features
+    train, test = train_test(spark, sf_dir)
+    tr, te = create_features(train), create_features(test)
+    fit1 = tr.agg(F.regr_slope(TARGET, "ListPrice").alias("_s"), F.regr_intercept(TARGET, "ListPrice").alias("_i"))
+    fit2 = two_feature_ols(tr, "ListPrice", "TotalRoomsApprox")
+    keys = [F.col(k) for k in LINEITEM_KEYS]
+    p1 = te.crossJoin(F.broadcast(fit1)).select(
+        F.lit("Original").alias("FeatureSet"), *keys, F.col(TARGET).alias("ActualClosePrice"),
+        (F.col("_i") + F.col("_s") * F.col("ListPrice")).alias("PredictedClosePrice"))
+    p2 = te.crossJoin(F.broadcast(fit2)).select(
+        F.lit("Engineered").alias("FeatureSet"), *keys, F.col(TARGET).alias("ActualClosePrice"),
+        (F.col("b0") + F.col("b1") * F.col("ListPrice") + F.col("b2") * F.col("TotalRoomsApprox"))
+        .alias("PredictedClosePrice"))
+    return p1.unionByName(p2)
