@@ -99,10 +99,18 @@ def format_money(x, digits: int = 2) -> Column:
     ).otherwise(F.concat(F.lit("$"), F.format_number(c, digits)))
 
 
+def _signed_number(c: Column, digits: int) -> Column:
+    # format_number drops the sign of values that round to zero; keep it, as
+    # Python's formatting does ("-0.0000").
+    # (the text test also catches -0.0).
+    neg = c.cast("string").startswith("-")
+    return F.concat(F.when(neg, F.lit("-")).otherwise(F.lit("")), F.format_number(F.abs(c), digits))
+
+
 def format_percent(x, digits: int = 2) -> Column:
     """``12.34%`` for a value already in percent units."""
-    return F.concat(F.format_number(_c(x), digits), F.lit("%"))
+    return F.concat(_signed_number(_c(x), digits), F.lit("%"))
 
 
 def format_ratio(x, digits: int = 4) -> Column:
-    return F.format_number(_c(x), digits)
+    return _signed_number(_c(x), digits)

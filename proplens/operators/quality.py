@@ -20,6 +20,11 @@ class DataQualityError(ValueError):
     pass
 
 
+def _rule(name, column, violations):
+    return F.struct(F.lit(name).alias("rule"), F.lit(column).cast("string").alias("column"),
+                    violations.cast("long").alias("violations"))
+
+
 def quality_rules(df: DataFrame, dataset: str, required: Sequence[str] = (), target: str | None = None,
                   predictors: Sequence[str] | None = None) -> DataFrame:
     """Rules: required columns present, not empty, no missing target/predictors, no ±Inf."""
@@ -36,10 +41,9 @@ def quality_rules(df: DataFrame, dataset: str, required: Sequence[str] = (), tar
     items = [F.struct(F.lit("not_empty").alias("rule"), F.lit(None).cast("string").alias("column"),
                       F.when(F.col("_rows") == 0, 1).otherwise(0).cast("long").alias("violations"))]
     if target and target in have:
-        items.append(F.struct(F.lit("target_not_missing"), F.lit(target), F.col("_t").cast("long")))
-    items += [F.struct(F.lit("predictor_not_missing"), F.lit(c), F.col(f"_p{i}").cast("long"))
-              for i, c in enumerate(preds)]
-    items += [F.struct(F.lit("finite_values"), F.lit(c), F.col(f"_i{i}").cast("long")) for i, c in enumerate(dbl)]
+        items.append(_rule("target_not_missing", target, F.col("_t")))
+    items += [_rule("predictor_not_missing", c, F.col(f"_p{i}")) for i, c in enumerate(preds)]
+    items += [_rule("finite_values", c, F.col(f"_i{i}")) for i, c in enumerate(dbl)]
     rows = one.select(F.explode(F.array(*items)).alias("_s")).select(
         F.col("_s.rule").alias("rule"), F.lit(dataset).alias("dataset"),
         F.col("_s.column").alias("column"), F.col("_s.violations").alias("violations"))

@@ -25,7 +25,7 @@ def leaderboard(df: DataFrame, metric: str = "R2", ascending: bool = False, name
         keys.append(F.col(second[0]).asc_nulls_last() if second[1] else F.col(second[0]).desc_nulls_last())
     keys.append(F.col(name_col))
     # A leaderboard has one row per model: a single ordered window is fine.
-    return df.withColumn("Rank", F.row_number().over(Window.orderBy(*keys)))
+    return df.withColumn("Rank", F.row_number().over(Window.orderBy(*keys)).cast("long"))
 
 
 def top_k(df: DataFrame, k: int, keys: Sequence[Column | str]) -> DataFrame:
@@ -33,7 +33,7 @@ def top_k(df: DataFrame, k: int, keys: Sequence[Column | str]) -> DataFrame:
 
 
 def rank_within(df: DataFrame, group: Sequence[str], keys: Sequence[Column | str], name: str = "Rank") -> DataFrame:
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*group).orderBy(*keys)))
+    return df.withColumn(name, F.row_number().over(Window.partitionBy(*group).orderBy(*keys)).cast("long"))
 
 
 def top_n_per_group(df: DataFrame, group: Sequence[str], keys: Sequence[Column | str], n: int,

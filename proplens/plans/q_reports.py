@@ -307,10 +307,10 @@ def select_best_model(spark, sf):
 
 
 @query("best_vs_second", with_ctes(_VAL, """o AS (SELECT *, row_number() OVER (ORDER BY RMSE, Model) AS rn,
-  lead(Model) OVER (ORDER BY RMSE, Model) AS RunnerUp, lead(RMSE) OVER (ORDER BY RMSE, Model) AS r2,
-  lead(MAE) OVER (ORDER BY RMSE, Model) AS m2, lead(R2) OVER (ORDER BY RMSE, Model) AS q2 FROM vm)""") + """
-SELECT Model AS Best, RunnerUp, round(RMSE - r2, 6) AS RMSEDelta, round(MAE - m2, 6) AS MAEDelta,
-  round(R2 - q2, 6) AS R2Delta FROM o WHERE rn = 1""")
+  lead(Model) OVER (ORDER BY RMSE, Model) AS RunnerUp, lead(RMSE) OVER (ORDER BY RMSE, Model) AS nx_rmse,
+  lead(MAE) OVER (ORDER BY RMSE, Model) AS nx_mae, lead(R2) OVER (ORDER BY RMSE, Model) AS nx_r2 FROM vm)""") + """
+SELECT Model AS Best, RunnerUp, round(RMSE - nx_rmse, 6) AS RMSEDelta, round(MAE - nx_mae, 6) AS MAEDelta,
+  round(R2 - nx_r2, 6) AS R2Delta FROM o WHERE rn = 1""")
 def best_vs_second(spark, sf):
     """Best model minus the runner-up on RMSE, MAE and R2."""
     return R.best_vs_second(_validation_metrics(spark, sf))
