@@ -81,4 +81,4 @@ def metrics_select(a: str = "ActualClosePrice", p: str = "PredictedClosePrice")
             f"round(median({ape}) * 100, 6) AS MdAPE, "
             f"round(CASE WHEN count({a}) < 2 THEN NULL WHEN var_pop({a}) * count({a}) = 0 "
             f"THEN CASE WHEN sum({e} * {e}) = 0 THEN 1.0 ELSE 0.0 END "
-            f"ELSE 1 - sum({e} * {e}) / (var_pop({a}) * count({a})) END, 6) AS R2")
+            f"ELSE 1 - sum({e} * {e}) / (var_pop({a}) * count({a})) END, 6) + 0.0 AS R2")
