@@ -340,3 +340,22 @@ def split_chronological_q(spark, sf):
 
 
 __all__ = ["coerce_numeric", "finite_or_null"]
+
+
+@query("stream_feed_ingest", with_ctes() + """
+SELECT strftime(CloseDate, '%Y%m') AS CloseMonth, count(*) AS rows,
+       round(avg(ClosePrice), 4) AS avg_close_price, count(City) AS city_rows
+FROM seg GROUP BY 1""")
+def stream_feed_ingest(spark, sf):
+    """Feed files streamed through the cleaning step into a month-partitioned sink."""
+    from proplens.streaming.ingest import start_feed_ingest
+    src = scratch_path(spark, "feed_files")
+    feed = S.sales(spark, sf).select(*FEED_COLUMNS)
+    files.write_table(feed, src)
+    sink, ckpt = scratch_path(spark, "feed_sink"), scratch_path(spark, "feed_sink_checkpoint")
+    q = start_feed_ingest(spark, src, sink, ckpt, feed.schema)
+    q.awaitTermination()
+    out = spark.read.parquet(sink)
+    return out.groupBy(F.col("CloseMonth").cast("string").alias("CloseMonth")).agg(
+        F.count(F.lit(1)).alias("rows"), F.round(F.avg("ClosePrice"), 4).alias("avg_close_price"),
+        F.count("City").alias("city_rows"))
