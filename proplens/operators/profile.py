@@ -59,35 +59,42 @@ def histogram(df: DataFrame, column: str, bins: int = 50, group_cols: Sequence[s
                       F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"))
 
 
-def _corr_expr(a: str, b: str):
-    x, y = F.col(a).cast("double"), F.col(b).cast("double")
-    sa = F.stddev_pop(F.when(y.isNotNull(), x))
-    sb = F.stddev_pop(F.when(x.isNotNull(), y))
-    return F.try_divide(F.covar_pop(x, y), sa * sb)
+def _pair_stats(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """Pairwise-complete correlation per (a, b) pair.
 
+    The pairs are stacked to rows (pair, x, y) and aggregated with three
+    small aggregates grouped by pair: the hash aggregate keeps one buffer per
+    pair (map-side combined), and the generated code stays small however many
+    pairs there are.  A constant column gives NULL (never an error).
+    """
+    stacked = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_p"), F.col(a).cast("double").alias("_x"), F.col(b).cast("double").alias("_y"))
+        for i, (a, b) in enumerate(pairs)])).alias("_s")).select("_s.*") \
+        .where(F.col("_x").isNotNull() & F.col("_y").isNotNull())
+    agg = stacked.groupBy("_p").agg(
+        F.try_divide(F.covar_pop("_x", "_y"), F.stddev_pop("_x") * F.stddev_pop("_y")).alias("_c"))
+    names = df.sparkSession.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)],
+                                            "_p int, column_a string, column_b string")
+    # The pair table is as small as the column list.
+    return F.broadcast(names).join(agg, "_p", "left").select("column_a", "column_b", F.col("_c").alias("correlation"))
 
-def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
-    """Pairwise-complete Pearson correlation of every ordered pair, one aggregate.
 
-    A constant column gives NULL (never an error).
-    """
+def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
+    """Pearson correlation of every ordered pair (upper triangle computed, then mirrored)."""
     cols = list(columns)
-    pairs = [(a, b) for a in cols for b in cols]
-    agg = df.agg(*[_corr_expr(a, b).alias(f"_c{i}") for i, (a, b) in enumerate(pairs)])
-    long = agg.select(F.explode(F.array(*[
-        F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"_c{i}").alias("correlation"))
-        for i, (a, b) in enumerate(pairs)])).alias("_s")).select("_s.*")
-    return long.withColumn("correlation", F.round(F.col("correlation"), digits))
+    upper = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    tri = _pair_stats(df, upper)
+    mirror = tri.where(F.col("column_a") != F.col("column_b")).select(
+        F.col("column_b").alias("column_a"), F.col("column_a").alias("column_b"), "correlation")
+    return tri.unionByName(mirror).withColumn("correlation", F.round("correlation", digits))
 
 
 def target_correlation(df: DataFrame, target: str, columns: Sequence[str], k: int = 20,
                        digits: int = 6) -> DataFrame:
     """Correlation of each column with the target, descending (NULL last), top k."""
     cols = [c for c in columns if c != target]
-    agg = df.agg(*[_corr_expr(c, target).alias(f"_c{i}") for i, c in enumerate(cols)])
-    long = agg.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("Feature"), F.col(f"_c{i}").alias("Correlation"))
-        for i, c in enumerate(cols)])).alias("_s")).select("_s.*")
+    long = _pair_stats(df, [(c, target) for c in cols]).select(
+        F.col("column_a").alias("Feature"), F.col("correlation").alias("Correlation"))
     return long.withColumn("Correlation", F.round("Correlation", digits)) \
                .orderBy(F.desc_nulls_last("Correlation"), "Feature").limit(k)
 
