@@ -133,8 +133,20 @@ def add_property_age(df: DataFrame, date_col: str = "CloseDate", built_col: str
 
 
 def coerce_numeric_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Columns -> double: text is parsed leniently, numbers are cast; NaN/Inf -> NULL.
+
+    Numeric columns never take the text path (no per-row formatting).
+    """
     want = set(columns)
-    return df.select(*[coerce_numeric(c).alias(c) if c in want else F.col(c) for c in df.columns])
+    out = []
+    for f in df.schema.fields:
+        if f.name not in want:
+            out.append(F.col(f.name))
+        elif isinstance(f.dataType, (*NUMERIC_TYPES, T.BooleanType)):
+            out.append(finite_or_null(F.col(f.name).cast("double")).alias(f.name))
+        else:
+            out.append(coerce_numeric(f.name).alias(f.name))
+    return df.select(*out)
 
 
 def inf_to_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -151,28 +163,34 @@ def inf_to_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
 
 # -- imputation ----------------------------------------------------------------
 
+def _one_row(spark, values: Mapping[str, object], typ: str) -> DataFrame:
+    """The fitted statistics as a one-row local table (no job to read it back)."""
+    schema = ", ".join(f"`{c}` {typ}" for c in values)
+    return spark.createDataFrame([tuple(values.values())], schema)
+
+
 def fit_medians(df: DataFrame, columns: Sequence[str], accuracy: int = 10000) -> DataFrame:
-    """One row, one exact median per column (all-NULL column -> 0.0).
+    """Fit: one exact median per column (all-NULL column -> 0.0), as a one-row table.
 
     The columns are stacked to (name, value) so that every median is computed
-    by the distributed exact-quantile operator in the same jobs.
+    by the distributed exact-quantile operator in the same jobs.  Fitting is
+    eager, like an estimator's ``fit``: the result is k numbers.
     """
     cols = list(columns)
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("_name"), F.col(c).cast("double").alias("_value")) for c in cols])).alias("_s")
     ).select("_s._name", "_s._value")
     med = exact_quantiles(long, "_value", [0.5], ["_median"], ["_name"], accuracy)
-    return med.agg(*[F.coalesce(F.max(F.when(F.col("_name") == c, F.col("_median"))), F.lit(0.0)).alias(c)
-                     for c in cols])
+    row = med.agg(*[F.coalesce(F.max(F.when(F.col("_name") == c, F.col("_median"))), F.lit(0.0)).alias(c)
+                    for c in cols]).first()
+    return _one_row(df.sparkSession, {c: float(row[c]) for c in cols}, "double")
 
 
-def apply_fill(df: DataFrame, stats: DataFrame) -> DataFrame:
-    """Fill NULLs from a one-row statistics table (broadcast: one row)."""
-    names = stats.columns
-    renamed = stats.select(*[F.col(c).alias(f"__fill_{c}") for c in names])
-    j = df.crossJoin(F.broadcast(renamed))
-    return j.select(*[F.coalesce(F.col(c), F.col(f"__fill_{c}")).alias(c) if c in names else F.col(c)
-                      for c in df.columns])
+def apply_fill(df: DataFrame, stats: DataFrame | Mapping[str, object]) -> DataFrame:
+    """Fill NULLs with fitted constants (a one-row table or a dict), inlined as literals."""
+    values = stats.first().asDict() if isinstance(stats, DataFrame) else dict(stats)
+    return df.select(*[F.coalesce(F.col(c), F.lit(values[c])).alias(c) if c in values else F.col(c)
+                       for c in df.columns])
 
 
 def fill_constant(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
@@ -192,8 +210,9 @@ def fit_modes(df: DataFrame, columns: Sequence[str], default: str = "Unknown") -
     counts = long.groupBy("_name", "_value").agg(F.count(F.lit(1)).alias("_n"))
     best = counts.groupBy("_name").agg(
         F.min_by("_value", F.struct(-F.col("_n"), F.col("_value"))).alias("_mode"))
-    return best.agg(*[F.coalesce(F.max(F.when(F.col("_name") == c, F.col("_mode"))), F.lit(default)).alias(c)
-                      for c in cols])
+    row = best.agg(*[F.coalesce(F.max(F.when(F.col("_name") == c, F.col("_mode"))), F.lit(default)).alias(c)
+                     for c in cols]).first()
+    return _one_row(df.sparkSession, {c: row[c] for c in cols}, "string")
 
 
 def fill_stats_long(stats: DataFrame, value_name: str = "FillValue") -> DataFrame:

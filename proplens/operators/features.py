@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from proplens.functions.scalar import coerce_numeric, finite_or_null, flag, log1p_clipped, safe_divide
+from proplens.functions.scalar import finite_or_null, flag, log1p_clipped, safe_divide
+from proplens.operators.clean import coerce_numeric_columns
 
 REQUIRED_COLUMNS = ["LivingArea", "BedroomsTotal", "BathroomsTotalInteger", "LotSizeSquareFeet",
                     "ListPrice", "PropertyAge"]
@@ -63,8 +64,7 @@ def create_features(df: DataFrame) -> DataFrame:
     Everything is column expressions, so the whole step is one codegen'd
     projection with no shuffle.
     """
-    req = set(REQUIRED_COLUMNS)
-    base = df.select(*[coerce_numeric(c).alias(c) if c in req else F.col(c) for c in df.columns])
+    base = coerce_numeric_columns(df, [c for c in REQUIRED_COLUMNS if c in df.columns])
     out = age_squared(age_flags(log_features(linear_features(ratio_features(base)))))
     dbl = {f.name for f in out.schema.fields if f.dataType.typeName() in ("double", "float")}
     return out.select(*[finite_or_null(c).alias(c) if c in dbl else F.col(c) for c in out.columns])

@@ -61,13 +61,14 @@ def sql_predictions(train: DataFrame, test: DataFrame) -> DataFrame:
         F.regr_slope(TARGET, "ListPrice").alias("_slope"),
         F.regr_intercept(TARGET, "ListPrice").alias("_intercept"),
         F.avg(TARGET).alias("_mean"),
-    )
-    scored = test.crossJoin(F.broadcast(fit))
+    ).first()  # fitting is eager: three numbers
+    scored = test
     keys = [F.col(k) for k in LINEITEM_KEYS]
+    lit = lambda v: F.lit(v).cast("double")
     preds = {
         "List Price": F.col("ListPrice"),
-        "OLS List Price": F.col("_intercept") + F.col("_slope") * F.col("ListPrice"),
-        "Train Mean": F.col("_mean"),
+        "OLS List Price": lit(fit["_intercept"]) + lit(fit["_slope"]) * F.col("ListPrice"),
+        "Train Mean": lit(fit["_mean"]),
     }
     stacked = scored.select(
         *keys, F.col(TARGET).alias("ActualClosePrice"),
@@ -101,8 +102,9 @@ def two_feature_ols(train: DataFrame, x1: str, x2: str, y: str = TARGET) -> Data
     det = F.col("s11") * F.col("s22") - F.col("s12") * F.col("s12")
     b1 = F.try_divide(F.col("s22") * F.col("s1y") - F.col("s12") * F.col("s2y"), det)
     b2 = F.try_divide(F.col("s11") * F.col("s2y") - F.col("s12") * F.col("s1y"), det)
-    return s.select(b1.alias("b1"), b2.alias("b2"), "m1", "m2", "my").select(
-        "b1", "b2", (F.col("my") - F.col("b1") * F.col("m1") - F.col("b2") * F.col("m2")).alias("b0"))
+    r = s.select(b1.alias("b1"), b2.alias("b2"), "m1", "m2", "my").select(
+        "b1", "b2", (F.col("my") - F.col("b1") * F.col("m1") - F.col("b2") * F.col("m2")).alias("b0")).first()
+    return train.sparkSession.createDataFrame([(r["b1"], r["b2"], r["b0"])], "b1 double, b2 double, b0 double")
 
 
 def feature_set_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,14 +112,16 @@ def feature_set_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     from proplens.operators.features import create_features
     train, test = train_test(spark, sf_dir)
     tr, te = create_features(train), create_features(test)
-    fit1 = tr.agg(F.regr_slope(TARGET, "ListPrice").alias("_s"), F.regr_intercept(TARGET, "ListPrice").alias("_i"))
-    fit2 = two_feature_ols(tr, "ListPrice", "TotalRoomsApprox")
+    f1 = tr.agg(F.regr_slope(TARGET, "ListPrice").alias("_s"), F.regr_intercept(TARGET, "ListPrice").alias("_i")) \
+           .first()
+    f2 = two_feature_ols(tr, "ListPrice", "TotalRoomsApprox").first()
     keys = [F.col(k) for k in LINEITEM_KEYS]
-    p1 = te.crossJoin(F.broadcast(fit1)).select(
+    lit = lambda v: F.lit(v).cast("double")
+    p1 = te.select(
         F.lit("Original").alias("FeatureSet"), *keys, F.col(TARGET).alias("ActualClosePrice"),
-        (F.col("_i") + F.col("_s") * F.col("ListPrice")).alias("PredictedClosePrice"))
-    p2 = te.crossJoin(F.broadcast(fit2)).select(
+        (lit(f1["_i"]) + lit(f1["_s"]) * F.col("ListPrice")).alias("PredictedClosePrice"))
+    p2 = te.select(
         F.lit("Engineered").alias("FeatureSet"), *keys, F.col(TARGET).alias("ActualClosePrice"),
-        (F.col("b0") + F.col("b1") * F.col("ListPrice") + F.col("b2") * F.col("TotalRoomsApprox"))
+        (lit(f2["b0"]) + lit(f2["b1"]) * F.col("ListPrice") + lit(f2["b2"]) * F.col("TotalRoomsApprox"))
         .alias("PredictedClosePrice"))
     return p1.unionByName(p2)
