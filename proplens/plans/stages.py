@@ -49,7 +49,7 @@ def train_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return split_by_date(prepared(spark, sf_dir), DATE_COL, TEST_CUTOFF)
 
 
-def sql_predictions(train: DataFrame, test: DataFrame) -> DataFrame:
+def sql_predictions(train: DataFrame, test: DataFrame, models: list[str] | None = None) -> DataFrame:
     """Long-form test predictions of three predictors that SQL can express.
 
     ``List Price`` predicts the list price; ``OLS List Price`` is the
@@ -70,6 +70,12 @@ def sql_predictions(train: DataFrame, test: DataFrame) -> DataFrame:
         "OLS List Price": lit(fit["_intercept"]) + lit(fit["_slope"]) * F.col("ListPrice"),
         "Train Mean": lit(fit["_mean"]),
     }
+    if models:
+        preds = {m: preds[m] for m in models}
+    if len(preds) == 1:
+        (m, c), = preds.items()
+        return scored.select(F.lit(m).alias("Model"), *keys, F.col(TARGET).alias("ActualClosePrice"),
+                             c.alias("PredictedClosePrice"))
     stacked = scored.select(
         *keys, F.col(TARGET).alias("ActualClosePrice"),
         F.explode(F.array(*[F.struct(F.lit(m).alias("Model"), c.alias("PredictedClosePrice"))
@@ -80,8 +86,9 @@ def sql_predictions(train: DataFrame, test: DataFrame) -> DataFrame:
 
 def predictions(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
     train, test = train_test(spark, sf_dir)
-    p = sql_predictions(train, test)
-    return p.where(F.col("Model") == model).drop("Model") if model else p
+    if model:
+        return sql_predictions(train, test, [model]).drop("Model")
+    return sql_predictions(train, test)
 
 
 def validation_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
