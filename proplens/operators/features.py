@@ -20,6 +20,30 @@ ENGINEERED = [
 ]
 
 
+# The feature dictionary (feature, description), in creation order.
+FEATURE_DESCRIPTIONS = [
+    ("LivingAreaPerBedroom", "Living area divided by bedroom count"),
+    ("LivingAreaPerBathroom", "Living area divided by bathroom count"),
+    ("BedBathRatio", "Bedroom count divided by bathroom count"),
+    ("ListPricePerSquareFoot", "Listing price divided by living area"),
+    ("LotToLivingAreaRatio", "Lot size divided by living area"),
+    ("TotalRoomsApprox", "Bedrooms plus bathrooms"),
+    ("OutdoorSpaceApprox", "Lot size minus living area"),
+    ("LogLivingArea", "Natural log of living area"),
+    ("LogLotSize", "Natural log of lot size"),
+    ("LogListPrice", "Natural log of listing price"),
+    ("IsNewProperty", "1 when property age is five years or less"),
+    ("IsRecentProperty", "1 when property age is fifteen years or less"),
+    ("IsOlderProperty", "1 when property age is fifty years or more"),
+    ("PropertyAgeSquared", "Squared property age for nonlinear relationships"),
+]
+
+
+def feature_dictionary(spark) -> DataFrame:
+    """The 14-row (Feature, Description) dimension."""
+    return spark.createDataFrame(FEATURE_DESCRIPTIONS, "Feature string, Description string")
+
+
 def ratio_features(df: DataFrame) -> DataFrame:
     return df.withColumns({
         "LivingAreaPerBedroom": safe_divide("LivingArea", "BedroomsTotal"),

@@ -49,6 +49,20 @@ def groups_fit_inline(df: DataFrame, group_cols: Sequence[str] = (), inline_limi
     return max_group_rows(df, group_cols) <= inline_limit
 
 
+RANK_LIMIT = 2_000_000
+
+
+def sketch_accuracy(n_max: int, accuracy: int = 10000, rank_limit: int = RANK_LIMIT) -> int:
+    """Sketch accuracy so that a bracket holds at most ~``rank_limit`` candidates.
+
+    The bracket spans about 6 n / accuracy ranks; the accuracy grows with the
+    largest group (capped at 1e6, i.e. brackets of 2 M candidates up to groups
+    of 3e11 rows).
+    """
+    need = -(-6 * max(int(n_max), 1) // rank_limit)
+    return int(min(1_000_000, max(accuracy, need)))
+
+
 def _join_stats(df: DataFrame, stats: DataFrame, groups: list[str]) -> DataFrame:
     if groups:
         return df.join(stats, groups)
@@ -98,10 +112,11 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
     base = df.select(*[F.col(g) for g in groups], F.col(value_col).cast("double").alias("_v")) \
              .where(F.col("_v").isNotNull())
-    if inline_limit is not None and groups_fit_inline(base, groups, inline_limit):
+    n_max = max_group_rows(base, groups)
+    if inline_limit is not None and n_max <= inline_limit:
         return base.groupBy(*groups).agg(
             *[F.percentile("_v", F.lit(float(p))).alias(n) for p, n in zip(probs, names)])
-    return _distributed_quantiles(base, probs, names, groups, accuracy)
+    return _distributed_quantiles(base, probs, names, groups, sketch_accuracy(n_max, accuracy))
 
 
 def _distributed_quantiles(base: DataFrame, probs: Sequence[float], names: Sequence[str],

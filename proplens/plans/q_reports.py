@@ -11,7 +11,9 @@ from proplens.operators import quality as V
 from proplens.operators import rank as R
 from proplens.operators import reshape as U
 from proplens.operators.clean import apply_fill, fit_medians, fit_modes
-from proplens.operators.features import ENGINEERED, create_features
+from proplens.operators.features import ENGINEERED, FEATURE_DESCRIPTIONS, create_features, feature_dictionary
+from proplens.session import scratch_path
+from proplens.sources import files
 from proplens.plans import stages as S
 from proplens.plans.catalog import query
 from proplens.plans.oracle import BAND_LABEL, BAND_ORDER, KEYS, metrics_select, with_ctes
@@ -421,7 +423,8 @@ SELECT l_orderkey, l_linenumber, max(ActualClosePrice) AS ActualClosePrice,
 FROM preds GROUP BY {KEYS}""")
 def wide_predictions(spark, sf):
     """One row per test listing: actual, then prediction and absolute error per model."""
-    w = U.wide_predictions(S.predictions(spark, sf), S.LINEITEM_KEYS, models=S.MODELS)
+    train, test = S.train_test(spark, sf)
+    w = S.wide_sql_predictions(train, test)
     vals = [c for c in w.columns if c.endswith(("_prediction", "_absolute_error"))]
     return w.select(*ID, "ActualClosePrice", *[F.round(c, 4).alias(c) for c in vals])
 
@@ -488,3 +491,35 @@ def quality_gates_filled(spark, sf):
         r = V.quality_rules(filled, name, required=_GATE_COLS, target="ClosePrice")
         out.append(r.groupBy("dataset").agg(F.sum("violations").cast("long").alias("violations")))
     return U.union_all(out)
+
+
+_DICT_SQL = "fdict AS (SELECT * FROM (VALUES " + ", ".join(
+    "('" + f + "', '" + d + "')" for f, d in FEATURE_DESCRIPTIONS) + ") t(Feature, Description))"
+
+
+@query("importance_described", with_ctes(_ENG_SQL, _IMP_RAW, _IMP, _DICT_SQL) + """
+SELECT imp.Model, imp.Feature, imp.Importance, fdict.Description
+FROM imp LEFT JOIN fdict ON imp.Feature = fdict.Feature""")
+def importance_described(spark, sf):
+    """Importances with the feature dictionary joined in (base features have none)."""
+    imp = U.union_all(_importances(spark, sf))
+    # The dictionary has 14 rows by definition.
+    return imp.join(F.broadcast(feature_dictionary(spark)), "Feature", "left").select(
+        "Model", "Feature", "Importance", "Description")
+
+
+@query("report_files", with_ctes(_VAL, _BANDED) + f"""
+SELECT 'price_band_metrics' AS report, count(DISTINCT PriceBand) AS rows FROM banded
+WHERE Model = '{OLS}' AND PriceBand IS NOT NULL
+UNION ALL SELECT 'validation_leaderboard', count(*) FROM vm""")
+def report_files(spark, sf):
+    """Write the band metrics and the leaderboard as single-file CSV reports, read them back."""
+    out = []
+    for name, df in (("price_band_metrics", M.metrics_by_band(S.predictions(spark, sf, OLS))),
+                     ("validation_leaderboard", R.leaderboard(_validation_metrics(spark, sf), "RMSE", ascending=True,
+                                                              second=("R2", False)))):
+        path = scratch_path(spark, name)
+        files.write_report(df, path)
+        back = files.guarded_read(spark, path, fmt="csv")
+        out.append(back.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("report"), "rows"))
+    return U.union_all(out)

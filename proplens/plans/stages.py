@@ -49,34 +49,37 @@ def train_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return split_by_date(prepared(spark, sf_dir), DATE_COL, TEST_CUTOFF)
 
 
-def sql_predictions(train: DataFrame, test: DataFrame, models: list[str] | None = None) -> DataFrame:
-    """Long-form test predictions of three predictors that SQL can express.
+def prediction_columns(train: DataFrame) -> dict:
+    """Fit the three SQL-definable predictors on ``train``; return model -> prediction Column.
 
     ``List Price`` predicts the list price; ``OLS List Price`` is the
-    one-feature least-squares line fitted on train; ``Train Mean`` is the
-    train mean.  Fitted statistics are one-row aggregates, so broadcasting
-    them is size-safe.
+    one-feature least-squares line; ``Train Mean`` is the train mean.  Fitting
+    is eager (three numbers), so scoring is a plain projection, no join.
     """
     fit = train.agg(
         F.regr_slope(TARGET, "ListPrice").alias("_slope"),
         F.regr_intercept(TARGET, "ListPrice").alias("_intercept"),
         F.avg(TARGET).alias("_mean"),
-    ).first()  # fitting is eager: three numbers
-    scored = test
-    keys = [F.col(k) for k in LINEITEM_KEYS]
+    ).first()
     lit = lambda v: F.lit(v).cast("double")
-    preds = {
+    return {
         "List Price": F.col("ListPrice"),
         "OLS List Price": lit(fit["_intercept"]) + lit(fit["_slope"]) * F.col("ListPrice"),
         "Train Mean": lit(fit["_mean"]),
     }
+
+
+def sql_predictions(train: DataFrame, test: DataFrame, models: list[str] | None = None) -> DataFrame:
+    """Long-form (Model, keys, actual, predicted) test predictions of the SQL predictors."""
+    preds = prediction_columns(train)
+    keys = [F.col(k) for k in LINEITEM_KEYS]
     if models:
         preds = {m: preds[m] for m in models}
     if len(preds) == 1:
         (m, c), = preds.items()
-        return scored.select(F.lit(m).alias("Model"), *keys, F.col(TARGET).alias("ActualClosePrice"),
-                             c.alias("PredictedClosePrice"))
-    stacked = scored.select(
+        return test.select(F.lit(m).alias("Model"), *keys, F.col(TARGET).alias("ActualClosePrice"),
+                           c.alias("PredictedClosePrice"))
+    stacked = test.select(
         *keys, F.col(TARGET).alias("ActualClosePrice"),
         F.explode(F.array(*[F.struct(F.lit(m).alias("Model"), c.alias("PredictedClosePrice"))
                             for m, c in preds.items()])).alias("_p"))
@@ -84,6 +87,19 @@ def sql_predictions(train: DataFrame, test: DataFrame, models: list[str] | None
                           F.col("_p.PredictedClosePrice").alias("PredictedClosePrice"))
 
 
+def wide_sql_predictions(train: DataFrame, test: DataFrame) -> DataFrame:
+    """One row per test listing with ``<slug>_prediction`` / ``<slug>_absolute_error`` per model.
+
+    All models score the same rows, so this is one projection (no pivot, no shuffle).
+    """
+    from proplens.functions.scalar import slug_text
+    cols = []
+    for m, c in prediction_columns(train).items():
+        s = slug_text(m)
+        cols += [c.alias(f"{s}_prediction"), F.abs(F.col(TARGET) - c).alias(f"{s}_absolute_error")]
+    return test.select(*[F.col(k) for k in LINEITEM_KEYS], F.col(TARGET).alias("ActualClosePrice"), *cols)
+
+
 def predictions(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
     train, test = train_test(spark, sf_dir)
     if model:

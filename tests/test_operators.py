@@ -157,3 +157,22 @@ def test_prune_keeps_schema_order(spark):
     df = spark.createDataFrame([(1.0, None, "x"), (2.0, None, "y"), (3.0, 1.0, None)], "a double, b double, c string")
     assert clean.prune_sparse_columns(df, 50.0).columns == ["a", "c"]
     assert clean.prune_sparse_columns(df, 50.0, protect=["b"]).columns == ["a", "b", "c"]
+
+
+def test_wide_predictions_pivot_from_long(spark):
+    from proplens.operators import reshape
+    long = spark.createDataFrame([(1, "Model A", 10.0, 12.0), (1, "Model-B", 10.0, 7.0), (2, "Model A", 5.0, 5.0)],
+                                 "id int, Model string, ActualClosePrice double, PredictedClosePrice double")
+    w = reshape.wide_predictions(long, ["id"]).orderBy("id").collect()
+    assert w[0]["model_a_prediction"] == 12.0 and w[0]["model_b_absolute_error"] == 3.0
+    assert w[1]["model_b_prediction"] is None
+
+
+def test_added_columns_and_kinds(spark):
+    before = spark.createDataFrame([(1.0, "a", True)], "x double, s string, b boolean")
+    after = before.withColumn("z", before.x * 2).withColumn("c", before.x)
+    assert clean.added_columns(before, after) == ["c", "z"]
+    assert clean.columns_of_kind(after, ["number"]) == ["x", "z", "c"]
+    assert clean.columns_of_kind(after, ["number", "bool"], exclude=True) == ["s"]
+    assert clean.keep_existing(after, ["z", "nope", "x"]).columns == ["z", "x"]
+    assert encode.target_first(after, "s").columns[0] == "s"
