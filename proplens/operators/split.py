@@ -32,6 +32,10 @@ def fit_count(n: int, fraction: float) -> int:
     return cut
 
 
+MAX_DATES_ON_DRIVER = 200_000
+RANK_IN_ONE_TASK = 1_000_000
+
+
 def split_chronological(df: DataFrame, date_col: str, tiebreak: Sequence[str], fraction: float = 0.2,
                         n: int | None = None) -> tuple[DataFrame, DataFrame, int]:
     """First ``floor(n(1-f))`` rows by (date, tiebreak...) -> fit, the rest -> validation.
@@ -39,43 +43,61 @@ def split_chronological(df: DataFrame, date_col: str, tiebreak: Sequence[str], f
     Returns (fit, validation, cut).  ``tiebreak`` should make the order total;
     fully identical rows are interchangeable, so any of them may be taken.
 
-    Plan: rows per date (small table) -> running total -> the one boundary
-    date.  Only that date's rows need a rank.  They are range-partitioned on
-    the tiebreak columns plus a salt (so even one huge date, or many copies of
-    one row, spread over all tasks), sorted inside each partition and
-    checkpointed to the shared folder, which pins the partitioning so that the
-    per-partition offsets (a table of one row per partition) stay valid.
+    Plan: rows per date (a calendar-sized table, one aggregate job) -> running
+    total -> the one boundary date.  Only that date's rows need a rank:
+    a window over them when the date is small (size known from the counts),
+    otherwise a range partitioning on the tiebreak columns plus a salt (so even
+    one huge date, or many copies of one row, spreads over all tasks),
+    checkpointed to pin the partitioning so that per-partition offsets stay
+    valid.
     """
-    if n is None:
-        n = df.count()
-    cut = fit_count(n, fraction)
     spark = df.sparkSession
     per_date = df.groupBy(date_col).agg(F.count(F.lit(1)).alias("_n"))
-    # One row per distinct date (a calendar-sized table): one ordered pass.
-    w = Window.orderBy(date_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = per_date.withColumn("_cum", F.sum("_n").over(w)).withColumn("_before", F.col("_cum") - F.col("_n"))
-    brow = cum.where((F.col("_before") < cut) & (F.col("_cum") >= cut)).select(
-        date_col, (F.lit(cut) - F.col("_before")).alias("_take")).collect()  # exactly one row
-    bdate, take = brow[0][0], int(brow[0][1])
+    rows = per_date.limit(MAX_DATES_ON_DRIVER + 1).collect()
+    if len(rows) <= MAX_DATES_ON_DRIVER:
+        rows = sorted((r for r in rows if r[0] is not None), key=lambda r: r[0])
+        total = sum(int(r[1]) for r in rows) if n is None else n
+        cut = fit_count(total, fraction)
+        before_n = 0
+        for d, c in rows:
+            if before_n + c >= cut:
+                bdate, take, day_rows = d, cut - before_n, int(c)
+                break
+            before_n += c
+    else:
+        # Fine-grained "dates": rank the date table itself with a running total.
+        total = df.where(F.col(date_col).isNotNull()).count() if n is None else n
+        cut = fit_count(total, fraction)
+        w = Window.orderBy(date_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        cum = per_date.where(F.col(date_col).isNotNull()).withColumn("_cum", F.sum("_n").over(w))
+        b = cum.where((F.col("_cum") - F.col("_n") < cut) & (F.col("_cum") >= cut)).first()
+        bdate, take, day_rows = b[0], cut - (int(b["_cum"]) - int(b["_n"])), int(b["_n"])
     bd = F.lit(bdate)
     cols = df.columns
     before = df.where(F.col(date_col) < bd)
     after = df.where(F.col(date_col) > bd)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    day = df.where(F.col(date_col) == bd)
     order = [F.col(c) for c in tiebreak]
-    day = (df.where(F.col(date_col) == bd)
-             .withColumn("_salt", F.rand(42))
-             .repartitionByRange(parts, *order, F.col("_salt"))
-             .sortWithinPartitions(*order, F.col("_salt"))
-             .withColumn("_pid", F.spark_partition_id())
-             .withColumn("_mid", F.monotonically_increasing_id())
-             .checkpoint(eager=True))
-    offsets = day.groupBy("_pid").agg(F.count(F.lit(1)).alias("_pn"), F.min("_mid").alias("_pmin"))
+    if day_rows <= RANK_IN_ONE_TASK:
+        ranked = day.withColumn("_rank", F.row_number().over(Window.partitionBy(date_col).orderBy(*order)) - 1)
+    else:
+        ranked = _rank_spread(day, order, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    fit = before.select(*cols).unionByName(ranked.where(F.col("_rank") < take).select(*cols))
+    val = after.select(*cols).unionByName(ranked.where(F.col("_rank") >= take).select(*cols))
+    return fit, val, cut
+
+
+def _rank_spread(day: DataFrame, order, parts: int) -> DataFrame:
+    """0-based rank of rows by ``order`` without a single-task sort."""
+    pinned = (day.withColumn("_salt", F.rand(42))
+                 .repartitionByRange(parts, *order, F.col("_salt"))
+                 .sortWithinPartitions(*order, F.col("_salt"))
+                 .withColumn("_pid", F.spark_partition_id())
+                 .withColumn("_mid", F.monotonically_increasing_id())
+                 .checkpoint(eager=True))
+    offsets = pinned.groupBy("_pid").agg(F.count(F.lit(1)).alias("_pn"), F.min("_mid").alias("_pmin"))
     ow = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = offsets.withColumn("_off", F.sum("_pn").over(ow) - F.col("_pn")).select("_pid", "_off", "_pmin")
     # One row per partition: a bounded table.
-    ranked = day.join(F.broadcast(offsets), "_pid").withColumn(
+    return pinned.join(F.broadcast(offsets), "_pid").withColumn(
         "_rank", F.col("_off") + F.col("_mid") - F.col("_pmin"))
-    fit = before.select(*cols).unionByName(ranked.where(F.col("_rank") < take).select(*cols))
-    val = after.select(*cols).unionByName(ranked.where(F.col("_rank") >= take).select(*cols))
-    return fit, val, cut

@@ -121,6 +121,18 @@ def test_split_chronological_matches_row_number(spark):
     assert {r["k"] for r in fit.collect()} == want
 
 
+def test_split_spread_rank_matches(spark, monkeypatch):
+    from pyspark.sql import Window
+    rows = [(1, i % 50, float(i % 7)) for i in range(400)] + [(0, i, 0.0) for i in range(100)]
+    df = spark.createDataFrame(rows, "d int, k int, v double")
+    monkeypatch.setattr(split, "RANK_IN_ONE_TASK", 10)
+    fit, val, cut = split.split_chronological(df, "d", ["k", "v"], 0.2)
+    assert cut == 400 and fit.count() == 400 and val.count() == 100
+    rn = df.withColumn("rn", F.row_number().over(Window.orderBy("d", "k", "v")))
+    want = sorted((r["d"], r["k"], r["v"]) for r in rn.where("rn > 400").collect())
+    assert sorted((r["d"], r["k"], r["v"]) for r in val.collect()) == want
+
+
 def test_fit_count_rules():
     assert split.fit_count(49703, 0.2) == 39762
     assert split.fit_count(60000, 0.2) == 48000
