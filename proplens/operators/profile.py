@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from proplens.operators.joins import join_group_stats
 from proplens.operators.quantiles import exact_quantiles
 
 
@@ -44,7 +45,7 @@ def histogram(df: DataFrame, column: str, bins: int = 50, group_cols: Sequence[s
     v = F.col(column).cast("double")
     data = df.select(*groups, v.alias("_x")).where(F.col("_x").isNotNull())
     rng = data.groupBy(*groups).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
-    j = data.join(rng, groups) if groups else data.crossJoin(F.broadcast(rng))
+    j = join_group_stats(data, rng, groups)
     raw = F.floor((F.col("_x") - F.col("_lo")) * bins / (F.col("_hi") - F.col("_lo")))
     b = F.when(F.col("_hi") == F.col("_lo"), F.lit(0)).otherwise(F.least(raw, F.lit(bins - 1))).cast("int")
     counts = j.groupBy(*groups, b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
@@ -134,7 +135,7 @@ def scatter_grid(df: DataFrame, x: str, y: str, bins: int = 20, group_cols: Sequ
     groups = list(group_cols)
     rng = df.groupBy(*groups).agg(F.least(F.min(x), F.min(y)).alias("_lo"),
                                   F.greatest(F.max(x), F.max(y)).alias("_hi"))
-    j = df.join(rng, groups) if groups else df.crossJoin(F.broadcast(rng))
+    j = join_group_stats(df, rng, groups)
 
     def b(c):
         raw = F.floor((F.col(c) - F.col("_lo")) * bins / (F.col("_hi") - F.col("_lo")))

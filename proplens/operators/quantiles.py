@@ -31,6 +31,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from proplens.operators.joins import join_group_stats
+
 _INF = float("inf")
 INLINE_LIMIT = 2_000_000
 
@@ -64,10 +66,7 @@ def sketch_accuracy(n_max: int, accuracy: int = 10000, rank_limit: int = RANK_LI
 
 
 def _join_stats(df: DataFrame, stats: DataFrame, groups: list[str]) -> DataFrame:
-    if groups:
-        return df.join(stats, groups)
-    # A global aggregate is exactly one row: broadcasting it is size-safe.
-    return df.crossJoin(F.broadcast(stats))
+    return join_group_stats(df, stats, groups)
 
 
 def _rank_entries(entries: DataFrame, groups: list[str]) -> DataFrame:
