@@ -72,7 +72,8 @@ def split_chronological(df: DataFrame, date_col: str, tiebreak: Sequence[str], f
         cum = per_date.where(F.col(date_col).isNotNull()).withColumn("_cum", F.sum("_n").over(w))
         b = cum.where((F.col("_cum") - F.col("_n") < cut) & (F.col("_cum") >= cut)).first()
         bdate, take, day_rows = b[0], cut - (int(b["_cum"]) - int(b["_n"])), int(b["_n"])
-    bd = F.lit(bdate)
+    # A text literal cast to the column's type: no Python/session time-zone shift.
+    bd = F.lit(str(bdate)).cast(df.schema[date_col].dataType)
     cols = df.columns
     before = df.where(F.col(date_col) < bd)
     after = df.where(F.col(date_col) > bd)
