@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from proplens.operators.metrics import metrics_by_band, regression_metrics
 from proplens.plans.catalog import query

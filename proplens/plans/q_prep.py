@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from proplens.functions.scalar import coerce_numeric, finite_or_null
 from proplens.operators import clean, encode, split
 from proplens.operators.profile import row_counts
 from proplens.plans import stages as S
@@ -339,8 +338,6 @@ def split_chronological_q(spark, sf):
                                      F.round(F.avg("ClosePrice"), 4).alias("avg_close_price"))
 
 
-__all__ = ["coerce_numeric", "finite_or_null"]
-
 
 @query("stream_feed_ingest", with_ctes() + """
 SELECT strftime(CloseDate, '%Y%m') AS CloseMonth, count(*) AS rows,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from proplens.functions.scalar import format_money, format_percent, format_ratio, slug
@@ -129,8 +130,10 @@ def _importances(spark, sf):
     raw = corr.select("Feature", F.abs("Correlation").alias("c")).where(F.col("c").isNotNull())
     a = raw.select(F.lit("Correlation").alias("Model"), "Feature", F.col("c").alias("v"))
     b = raw.select(F.lit("R2 Share").alias("Model"), "Feature", (F.col("c") * F.col("c")).alias("v"))
-    return [d.select("Model", "Feature", F.round(F.col("v") / F.sum("v").over(
-        __import__("pyspark.sql").sql.Window.partitionBy("Model")), 6).alias("Importance")) for d in (a, b)]
+    # Each table has one row per feature: the per-model window is tiny.
+    per_model = Window.partitionBy("Model")
+    return [d.select("Model", "Feature", F.round(F.col("v") / F.sum("v").over(per_model), 6).alias("Importance"))
+            for d in (a, b)]
 
 
 def _validation_metrics(spark, sf):
