@@ -113,11 +113,35 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
              .where(F.col("_v").isNotNull())
     n_max = max_group_rows(base, groups)
     if inline_limit is not None and n_max <= inline_limit:
-        return base.groupBy(*groups).agg(
-            *[F.percentile("_v", F.lit(float(p))).alias(n) for p, n in zip(probs, names)])
+        return _counted_quantiles(base, probs, names, groups)
     return _distributed_quantiles(base, probs, names, groups, sketch_accuracy(n_max, accuracy))
 
 
+def _counted_quantiles(base: DataFrame, probs: Sequence[float], names: Sequence[str],
+                       groups: list[str]) -> DataFrame:
+    """Groups known to be small: count each distinct value (map-side combined), then one
+    running sum per group over its distinct values finds the wanted ranks."""
+    cnt = base.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    part = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
+    run = part.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    r = cnt.withColumn("_cum", F.sum("_c").over(run)) \
+           .withColumn("_n", F.sum("_c").over(part.rowsBetween(Window.unboundedPreceding,
+                                                                Window.unboundedFollowing)))
+    aggs, outs = [], []
+    for i, (p, name) in enumerate(zip(probs, names)):
+        pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
+        for end, k in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
+            hit = (F.col("_cum") - F.col("_c") <= k) & (k < F.col("_cum"))
+            aggs.append(F.max(F.when(hit, F.col("_v"))).alias(f"_{end}{i}"))
+        aggs.append(F.first(pos - F.floor(pos)).alias(f"_f{i}"))
+        lo, hi, f = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(f"_f{i}")
+        outs.append(F.when(f == 0, lo).otherwise(lo + (hi - lo) * f).alias(name))
+    out = r.groupBy(*groups).agg(*aggs).select(*groups, *outs)
+    if not groups:  # a global aggregate keeps its one row even without values
+        out = base.sparkSession.range(1).join(out, how="left").drop("id")
+    return out
+
+
 def _distributed_quantiles(base: DataFrame, probs: Sequence[float], names: Sequence[str],
                            groups: list[str], accuracy: int) -> DataFrame:
 
