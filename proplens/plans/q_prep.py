@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from proplens.operators import clean, encode, split
-from proplens.operators.profile import row_counts
 from proplens.plans import stages as S
 from proplens.plans.catalog import query
 from proplens.plans.oracle import KEYS, with_ctes
@@ -77,10 +76,26 @@ UNION ALL SELECT 'core', 3, count(*), 21 FROM seg
 UNION ALL SELECT 'train', 4, count(*), 21 FROM train
 UNION ALL SELECT 'test', 5, count(*), 21 FROM test""")
 def stage_row_counts(spark, sf):
-    """Rows and columns at each stage of the preparation."""
+    """Rows and columns at each stage of the preparation, from ONE scan of the sales table.
+
+    Every stage is a filter of the same table, so its row count is a
+    conditional count in a single aggregate; column counts come from the
+    stage schemas.
+    """
+    sales = S.sales(spark, sf)
     train, test = S.train_test(spark, sf)
-    return row_counts(spark, [("sales", S.sales(spark, sf)), ("segment", S.segment(spark, sf)),
-                              ("core", S.core(spark, sf)), ("train", train), ("test", test)])
+    in_seg = F.lit(True)
+    for c, v in S.SEGMENT.items():
+        in_seg = in_seg & (F.col(c) == F.lit(v))
+    cut = F.lit(S.TEST_CUTOFF).cast("timestamp_ntz")
+    conds = {"sales": F.lit(True), "segment": in_seg, "core": in_seg,
+             "train": in_seg & (F.col(S.DATE_COL) < cut), "test": in_seg & (F.col(S.DATE_COL) >= cut)}
+    widths = {"sales": len(sales.columns), "segment": len(S.segment(spark, sf).columns),
+              "core": len(S.core(spark, sf).columns), "train": len(train.columns), "test": len(test.columns)}
+    counts = sales.agg(*[F.count_if(c).alias(n) for n, c in conds.items()])
+    return counts.select(F.explode(F.array(*[
+        F.struct(F.lit(n).alias("stage"), F.lit(i + 1).alias("stage_order"), F.col(n).alias("rows"),
+                 F.lit(widths[n]).alias("columns")) for i, n in enumerate(conds)])).alias("_s")).select("_s.*")
 
 
 # -- filter / projection -------------------------------------------------------

@@ -56,3 +56,10 @@ def test_finite_or_null(spark):
     got = [r[0] for r in _col(spark, [float("nan"), float("inf"), -float("inf"), 1.5])
            .select(X.finite_or_null("v")).collect()]
     assert got == [None, None, None, 1.5]
+
+
+def test_format_half_even_on_unrounded(spark):
+    # format_number rounds half-even, as Python's formatting does: 0.125 -> 0.12
+    df = spark.createDataFrame([(0.125, 1234567.891)], "a double, b double")
+    r = df.select(X.format_ratio("a", 2), X.format_money("b"), X.format_percent("a", 2)).first()
+    assert r[0] == "0.12" and r[1] == "$1,234,567.89" and r[2] == "0.12%"

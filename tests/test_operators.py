@@ -188,3 +188,9 @@ def test_added_columns_and_kinds(spark):
     assert clean.columns_of_kind(after, ["number", "bool"], exclude=True) == ["s"]
     assert clean.keep_existing(after, ["z", "nope", "x"]).columns == ["z", "x"]
     assert encode.target_first(after, "s").columns[0] == "s"
+
+
+def test_row_counts_generic(spark):
+    a = spark.createDataFrame([(1,), (2,)], "x int")
+    out = profile.row_counts(spark, [("a", a), ("b", a.where("x > 1"))]).orderBy("stage_order").collect()
+    assert [(r["stage"], r["rows"], r["columns"]) for r in out] == [("a", 2, 1), ("b", 1, 1)]
