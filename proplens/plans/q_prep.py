@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from proplens.operators import clean, encode, split
 from proplens.plans import stages as S
@@ -36,6 +37,34 @@ def scan_union_months(spark, sf):
         F.count("City").alias("city_rows"))
 
 
+DRIFT_MONTH = "199801"
+
+
+@query("scan_drifting_months", with_ctes() + f"""
+SELECT strftime(CloseDate, '%Y%m') AS CloseMonth, count(*) AS rows,
+       count(CASE WHEN strftime(CloseDate, '%Y%m') >= '{DRIFT_MONTH}' THEN ElementarySchool END) AS school_rows,
+       count(City) AS city_rows
+FROM seg GROUP BY 1""")
+def scan_drifting_months(spark, sf):
+    """Months before the layout change lack a column; the union fills it with NULL."""
+    root = scratch_path(spark, "monthly_feed_layouts")
+    seg = S.segment(spark, sf).withColumn("CloseMonth", F.date_format("CloseDate", "yyyyMM"))
+    old = seg.where(F.col("CloseMonth") < DRIFT_MONTH).select(*S.CORE_COLUMNS, "CloseMonth")
+    new = seg.where(F.col("CloseMonth") >= DRIFT_MONTH).select(*S.CORE_COLUMNS, "ElementarySchool", "CloseMonth")
+    files.write_csv(old, f"{root}/old", partition_by=["CloseMonth"])
+    files.write_csv(new, f"{root}/new", partition_by=["CloseMonth"])
+    # The month list is calendar-sized.
+    months = [r[0] for r in seg.select("CloseMonth").distinct().collect()]
+    old_paths = [f"{root}/old/CloseMonth={m}" for m in sorted(months) if m < DRIFT_MONTH]
+    new_paths = [f"{root}/new/CloseMonth={m}" for m in sorted(months) if m >= DRIFT_MONTH]
+    new_schema = T.StructType([*files.CORE_SCHEMA.fields, T.StructField("ElementarySchool", T.StringType())])
+    feed = files.scan_layouts(spark, [(old_paths, files.CORE_SCHEMA), (new_paths, new_schema)])
+    month = F.date_format("CloseDate", "yyyyMM")
+    return feed.groupBy(month.alias("CloseMonth")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count("ElementarySchool").alias("school_rows"),
+        F.count("City").alias("city_rows"))
+
+
 @query("sink_roundtrip", with_ctes("""sides AS (SELECT 'train' AS split, * FROM train
   UNION ALL SELECT 'test', * FROM test)""") + """
 SELECT split, count(*) AS rows, round(avg(ClosePrice), 4) AS avg_close_price,
