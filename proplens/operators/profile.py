@@ -39,19 +39,30 @@ def histogram(df: DataFrame, column: str, bins: int = 50, group_cols: Sequence[s
               digits: int = 4) -> DataFrame:
     """Equal-width bins over [min, max], last bin closed; zero-count bins kept.
 
-    A constant column gives one bin.  The min/max table has one row per group.
+    A constant column gives one bin.  Without groups the range is fitted
+    eagerly (two numbers, inlined as literals); with groups the min/max table
+    (one row per group) is joined back with a size-checked broadcast.
     """
     groups = list(group_cols)
     v = F.col(column).cast("double")
     data = df.select(*groups, v.alias("_x")).where(F.col("_x").isNotNull())
     rng = data.groupBy(*groups).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
-    j = join_group_stats(data, rng, groups)
+    if not groups:
+        r = rng.first()
+        if r is None or r["_lo"] is None:
+            return df.sparkSession.createDataFrame(
+                [], "bin int, bin_start double, bin_end double, count long")
+        rng = df.sparkSession.createDataFrame([(float(r["_lo"]), float(r["_hi"]))], "_lo double, _hi double")
+        j = data.select("_x", F.lit(r["_lo"]).cast("double").alias("_lo"), F.lit(r["_hi"]).cast("double").alias("_hi"))
+    else:
+        j = join_group_stats(data, rng, groups)
     raw = F.floor((F.col("_x") - F.col("_lo")) * bins / (F.col("_hi") - F.col("_lo")))
     b = F.when(F.col("_hi") == F.col("_lo"), F.lit(0)).otherwise(F.least(raw, F.lit(bins - 1))).cast("int")
     counts = j.groupBy(*groups, b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     nb = F.when(F.col("_hi") == F.col("_lo"), F.lit(0)).otherwise(F.lit(bins - 1))
     frame = rng.select(*groups, "_lo", "_hi", F.explode(F.sequence(F.lit(0), nb)).alias("bin"))
     w = (F.col("_hi") - F.col("_lo")) / bins
+    # Both sides have at most (groups x bins) rows.
     out = frame.join(counts, [*groups, "bin"], "left")
     return out.select(*groups, "bin",
                       F.round(F.col("_lo") + F.col("bin") * w, digits).alias("bin_start"),
