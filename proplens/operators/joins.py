@@ -15,7 +15,8 @@ def join_group_stats(df: DataFrame, stats: DataFrame, groups: Sequence[str],
                      max_broadcast_rows: int = MAX_BROADCAST_GROUPS) -> DataFrame:
     """``df`` joined with a one-row-per-group statistics table on ``groups``.
 
-    Without groups the statistics are one row: a broadcast cross join.  With
+    Without groups the statistics are one row, read once and added as
+    literal columns (no join at all).  With
     groups the table is persisted and counted first; it is broadcast only when
     that count is within ``max_broadcast_rows`` (so a hot group never lands in
     one join task), otherwise it is a shuffled join that adaptive execution
@@ -23,7 +24,8 @@ def join_group_stats(df: DataFrame, stats: DataFrame, groups: Sequence[str],
     """
     groups = list(groups)
     if not groups:
-        return df.crossJoin(F.broadcast(stats))
+        row = stats.first()
+        return df.select("*", *[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in stats.schema.fields])
     stats = stats.persist(StorageLevel.MEMORY_AND_DISK)
     if stats.count() <= max_broadcast_rows:
         return df.join(F.broadcast(stats), groups)

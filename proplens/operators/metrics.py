@@ -96,8 +96,9 @@ def _with_distributed_mdape(df, ape, groups, actual, predicted, accuracy):
     med = exact_median(ape_df, "_ape", groups, name="_mdape", accuracy=accuracy, inline_limit=None)
     if groups:
         joined = stats.join(med, groups, "left")
-    else:  # both sides are single-row global aggregates
-        joined = stats.crossJoin(F.broadcast(med.agg(F.max("_mdape").alias("_mdape"))))
+    else:  # a global median is one number: fitted eagerly, inlined as a literal
+        v = med.agg(F.max("_mdape")).first()[0]
+        joined = stats.withColumn("_mdape", F.lit(v).cast("double"))
     return joined
 
 

@@ -152,6 +152,9 @@ def _distributed_quantiles(base: DataFrame, probs: Sequence[float], names: Seque
     stats = base.groupBy(*groups).agg(
         F.count(F.lit(1)).alias("_n"),
         F.percentile_approx("_v", F.array(*[F.lit(x) for x in bracket_ps]), accuracy).alias("_b"))
+    if not groups:  # one row: compute it once, reuse it as a local table
+        r = stats.first()
+        stats = base.sparkSession.createDataFrame([(r["_n"], r["_b"])], "_n long, _b array<double>")
 
     pos_cols = []
     for i, p in enumerate(probs):
@@ -187,12 +190,11 @@ def _distributed_quantiles(base: DataFrame, probs: Sequence[float], names: Seque
         return ok
 
     # Exact fallback for any group whose bracket missed its rank.
-    missed = first.where(F.col("_missed") > 0).select(*groups) if groups else \
-        first.where(F.col("_missed") > 0).select(F.lit(1).alias("_one"))
     if groups:
+        missed = first.where(F.col("_missed") > 0).select(*groups)
         rest = base.join(missed, groups, "left_semi")
     else:
-        rest = base.crossJoin(missed).drop("_one")
+        rest = base
     full = rest.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_cnt")) \
                .select(*groups, F.col("_v").alias("_sv"), F.lit(0).alias("_tb"),
                        F.col("_v").alias("_vv"), "_cnt")

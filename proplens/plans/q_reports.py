@@ -354,10 +354,11 @@ def evaluation_summary(spark, sf):
     train, _ = S.train_test(spark, sf)
     tm = M.regression_metrics(S.predictions(spark, sf).join(
         F.broadcast(best.withColumnRenamed("BestModel", "Model")), "Model", "left_semi"), group_cols=["Model"])
-    n = train.agg(F.count(F.lit(1)).alias("TrainRows"))
-    return tm.crossJoin(F.broadcast(n)).select(
+    n_train = train.count()
+    return tm.select(
         F.lit("test").alias("EvaluationSet"), F.col("Model").alias("SelectedModel"), *M.METRIC_COLUMNS,
-        "TrainRows", F.col("ObservationCount").alias("TestRows"), F.lit(1).alias("FeatureCount"))
+        F.lit(n_train).cast("long").alias("TrainRows"), F.col("ObservationCount").alias("TestRows"),
+        F.lit(1).alias("FeatureCount"))
 
 
 # -- importances --------------------------------------------------------------------------
