@@ -46,9 +46,19 @@ def max_group_rows(df: DataFrame, group_cols: Sequence[str] = ()) -> int:
     return int(r[0] or 0)
 
 
+def group_rows_bound(df: DataFrame, group_cols: Sequence[str] = (), inline_limit: int = INLINE_LIMIT) -> int:
+    """An upper bound of the largest group: the total row count when that is
+    already within ``inline_limit`` (one single-stage count), else the exact
+    largest group (one grouped count)."""
+    total = df.count()
+    if total <= inline_limit or not list(group_cols):
+        return total
+    return max_group_rows(df, group_cols)
+
+
 def groups_fit_inline(df: DataFrame, group_cols: Sequence[str] = (), inline_limit: int = INLINE_LIMIT) -> bool:
     """True when every group is small enough for the built-in exact percentile."""
-    return max_group_rows(df, group_cols) <= inline_limit
+    return group_rows_bound(df, group_cols, inline_limit) <= inline_limit
 
 
 RANK_LIMIT = 2_000_000
@@ -111,7 +121,7 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
     base = df.select(*[F.col(g) for g in groups], F.col(value_col).cast("double").alias("_v")) \
              .where(F.col("_v").isNotNull())
-    n_max = max_group_rows(base, groups)
+    n_max = group_rows_bound(base, groups, inline_limit or 0)
     if inline_limit is not None and n_max <= inline_limit:
         return _counted_quantiles(base, probs, names, groups)
     return _distributed_quantiles(base, probs, names, groups, sketch_accuracy(n_max, accuracy))
