@@ -21,8 +21,9 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share
     """Adds weight and target to (source, source_size): ``share`` of all sizes dealt by weight, no target above ``cap``
     times its source, the excess reshared by weight.
 
-    Resharing ends at one common rate r with target = min(cap * size, r * weight); with sources in the order in which
-    they reach their cap, running sums give r.  One row per source, ties by name.
+    Resharing ends at one common rate r with target = min(cap * size, r * weight).  With sources in the order in which
+    they reach their cap, running sums give the r that fits if those before are capped; the targets' sum is concave in
+    r, so the largest of these is the one.  One row per source, ties by name.
     """
     every, byname = Window.partitionBy(), Window.orderBy(F.col("source").asc_nulls_last())
     full = Window.orderBy("fills", F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
@@ -32,9 +33,9 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share
          .withColumn("used", F.coalesce(F.sum("source_size").over(full), F.lit(0)) * cap)
          .withColumn("open", F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(full), F.lit(0)))
          .withColumn("rate", (share * F.sum("source_size").over(every) - F.col("used")) / F.col("open"))
-         .withColumn("rate", F.min(F.when(F.col("rate") <= F.col("fills"), F.col("rate"))).over(every)))
+         .withColumn("rate", F.max("rate").over(every)))
     return t.select("source", "source_size", "weight", F.least(
-        cap * F.col("source_size"), F.coalesce(F.col("rate"), F.col("fills")) * F.col("weight")).alias("target"))
+        cap * F.col("source_size"), F.col("rate") * F.col("weight")).alias("target"))
 
 
 def hash_point(id_col: str, text_col: str):

@@ -113,7 +113,7 @@ WITH u AS (SELECT page_id, url,
     translate(coalesce(regexp_extract(url, '^.*?://([^/?#]*)([^?#]*)', 1, 's'), ''), '{UPPER}', '{UPPER.lower()}') AS host,
     coalesce(regexp_extract(url, '^.*?://([^/?#]*)([^?#]*)', 2, 's'), '') AS path FROM pages),
 q AS (SELECT *, list_sort(list_filter(string_split(regexp_extract(url, '^[^#]*?\?([^#]*)', 1, 's'), '&'),
-    x -> x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|ref|gclid|fbclid)(=|$)'))) AS query FROM u),
+    lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|ref|gclid|fbclid)(=|$)'))) AS query FROM u),
 c AS (SELECT *, regexp_replace(host, ':(80|443)$', '')
     || regexp_replace(regexp_replace(path, '/index\.html?$', '/'), '/+$', '')
     || CASE WHEN len(query) > 0 THEN '?' || array_to_string(query, '&') ELSE '' END AS canonical FROM q),
@@ -137,7 +137,7 @@ g AS (SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - 2.0::DOUBLE * coalesce
     / (sum(weight) OVER () - coalesce(sum(weight) OVER upto, 0)) AS rate FROM f
   WINDOW upto AS (ORDER BY fills, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 t AS (SELECT source, source_size, least(2.0::DOUBLE * source_size,
-    coalesce(min(CASE WHEN rate <= fills THEN rate END) OVER (), fills) * weight) AS target FROM g),
+    max(rate) OVER () * weight) AS target FROM g),
 p AS (SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE floor(target / source_size) END AS whole FROM t),
 e AS (SELECT doc_id, point, size, d.source, source_size, target, whole, target - whole * source_size AS budget,
     sum(size) OVER (PARTITION BY d.source ORDER BY point) AS upto,
