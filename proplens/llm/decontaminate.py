@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from proplens.llm.common import plain_words, text_key, written
+from proplens.llm.common import GAPS, plain_words, text_key, words_between, written
 
 #: Fingerprints are one long: 33 bits of hash above 30 bits of position (a text of 2 GB has fewer words than 2**30).
 POS_BITS = 30
@@ -117,8 +117,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         F.sort_array(F.collect_set(F.struct("begin", "end"))).alias("spans")), "spans")
     places = F.flatten(F.transform("spans", lambda s: F.sequence(s["begin"], s["end"] - 1)))
     hit = hit.select("k1", "k2", "items", "spans", F.size(F.array_distinct(places)).cast("long").alias("n_hit"))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.regexp_count(
-        F.col(text_col), F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")), F.lit(0)).cast("long").alias("n_words"),
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.size(words_between(F.col(text_col), GAPS)).cast("long").alias("n_words"),
         *text_key(F.col(text_col)), *extra)
     none = lambda c: F.coalesce(c, F.array().cast(dict(hit.dtypes)[c]))
     return rows.join(hit, ["k1", "k2"], "left").select(
