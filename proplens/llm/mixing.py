@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from proplens.llm.common import SPACED_WORD, forget, written
+from proplens.llm.common import SPACES, forget, words_between, written
 
 HASH_BITS = 60
 
@@ -100,7 +100,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     rows = written(docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-        F.coalesce(F.regexp_count(F.col(text_col), F.lit(SPACED_WORD)), F.lit(0)).cast("long").alias("size"),
+        F.size(words_between(F.col(text_col), SPACES)).cast("long").alias("size"),
         hash_point(id_col, text_col).alias("point"), *extra), "sizes")
     targets = written(source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")),
                                      weights, share, cap), "targets")
