@@ -31,9 +31,10 @@ REMEMBERED = 800_000
 BLOCK_BYTES = 8 << 20
 #: One space or line feed between two characters that are not white space: the pre-tokenizer always splits before it.
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
-_SIMPLE = re.compile(r"( ?[^\W\d_]+)([.,!?;:]*)")
-#: White space other than line feeds that stand alone between other characters; also nothing at all.
-_RAGGED = re.compile(r"[^\S\n]|\n\s|^\s|\s\Z|^\Z")
+#: Pieces that the fast cut may leave: a lone line feed, or characters without white space after at most one space.
+_WHOLE = re.compile(r"\n| ?\S+")
+#: Stands at cuts; a text that has it is cut by pattern.
+_MARK = "\0"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -47,12 +48,13 @@ _LETTERS = _byte_letters()
 
 
 class PieceEncoder:
-    """Encodes texts with the tokenizers library, each distinct word about once.
+    """Encodes texts with the tokenizers library, each distinct piece about once.
 
     The byte-level pre-tokenizer lets a single space only begin a token and never joins one to what stands before it, so
-    a text gives the same ids whole or cut before such a space, and a lone line feed is a token by itself.  Letters, and
-    punctuation after them, are each one pre-token, for which the library's model is asked directly; any other piece is
-    encoded as a text.  A text with other white space than lone spaces and line feeds is cut by pattern instead.
+    a text gives the same ids whole or cut before such a space; a lone line feed is a token by itself, and one ends
+    between a letter and a punctuation mark.  A piece of letters is one pre-token, for which the library's model is
+    asked directly; any other is encoded as a text.  Texts with other white space than lone spaces and line feeds are
+    cut by pattern instead.
     """
 
     def __init__(self, path: str):
@@ -62,77 +64,52 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[str, list[int] | tuple[int, ...]] = {}
+        self.known: dict[str, list[int]] = {}
 
     def _piece(self, piece: str) -> list[int]:
-        """Ids of a piece with white space at most at its start and lone line feeds inside."""
-        ids = self.known.get(piece)
-        if ids is not None:
-            return ids
-        if "\n" in piece:
-            first, *rest = piece.split("\n")
-            out = [*self._piece(first)]
-            for part in rest:
-                out += self._word("\n")
-                out += self._piece(part)
-            return out
-        m = _SIMPLE.fullmatch(piece)
-        if m and m[2] and m[1].lstrip(" ").isalpha():
-            return self._word(m[1]) + self._word(m[2])
-        return self._word(piece)
-
-    def _word(self, word: str) -> list[int]:
-        ids = self.known.get(word)
-        if ids is None:
-            bare = word[1:] if word[0] == " " else word
-            if not bare.isalpha():
-                ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+        bare = piece[1:] if piece[0] == " " else piece
+        if not bare.isalpha():
+            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+        else:
+            if not piece.isascii():
+                letters = "".join(map(_LETTERS.__getitem__, piece.encode()))
             else:
-                if not word.isascii():
-                    word_letters = "".join(map(_LETTERS.__getitem__, word.encode()))
-                else:
-                    word_letters = word if bare is word else _LETTERS[0x20] + bare
-                ids = [t.id for t in self.tokenizer.model.tokenize(word_letters)]
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[word] = ids
+                letters = piece if bare is piece else _LETTERS[0x20] + bare
+            ids = [t.id for t in self.tokenizer.model.tokenize(letters)]
+        self.known[piece] = ids
         return ids
 
     def whole(self, text: str) -> list[int]:
         """Ids of any text."""
-        return [i for p in _CUT.split(text) for i in (
-            self._word("\n") + self._word(p[1:]) if p[:1] == "\n" and p[1:2].strip() else self._word(p))] if text else []
+        out: list[int] = []
+        for p in _CUT.split(text) if text else []:
+            for part in ("\n", p[1:]) if p[0] == "\n" and p[1:2].strip() else (p,):
+                out += self.known.get(part) or self._piece(part)
+        return out
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each)."""
-        split = pc.split_pattern(texts, " ")
-        first = split.offsets.to_numpy()
+        marked = pc.replace_substring(pc.replace_substring(texts, " ", _MARK + " "), "\n", f"{_MARK}\n{_MARK}")
+        split = pc.split_pattern(pc.replace_substring_regex(marked, "([a-z])([.,!?;:])", rf"\1{_MARK}\2"), _MARK)
         pieces = pc.dictionary_encode(pc.list_flatten(split))
-        names = pieces.dictionary.to_pylist()
-        code = pieces.indices.to_numpy().astype(np.int64)
+        names, code = pieces.dictionary.to_pylist(), pieces.indices.to_numpy()
+        first = split.offsets.to_numpy().astype(np.int64)
         first = first - first[0]
-        # Pieces that border on more white space than the one space: their texts are cut by pattern.
-        odd = np.array([not n.isalpha() and _RAGGED.search(n) is not None for n in names], bool)
+        if len(self.known) + len(names) > REMEMBERED:
+            self.known.clear()
+        known, fits = self.known.get, _WHOLE.fullmatch
+        ids = [known(n) or (self._piece(n) if fits(n) else None) for n in names]
+        odd = np.fromiter((x is None for x in ids), bool, len(ids))
         bad = np.r_[0, np.cumsum(odd[code])]
-        slow = np.flatnonzero(bad[first[1:]] > bad[first[:-1]])
-        spaced = np.ones(len(code), bool)
-        spaced[first[:-1][first[:-1] < first[1:]]] = False
-        drop = np.zeros(len(code), bool)
-        for i in slow:
-            drop[first[i]:first[i + 1]] = True
-        key = (code * 2 + spaced)[~drop]
-        used = np.zeros(2 * len(names), bool)
-        used[key] = True
-        at = (np.cumsum(used) - 1)[key]
-        ids = [self._piece(" " + names[u >> 1] if u & 1 else names[u >> 1]) for u in np.flatnonzero(used).tolist()]
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), self.kind, int(size.sum()))
-        begin = (np.cumsum(size) - size)[at]
-        n = size[at]
-        ends = np.r_[0, np.cumsum(n)]
-        tokens = flat[np.repeat(begin - ends[:-1], n) + np.arange(ends[-1])]
-        kept = np.r_[0, np.cumsum(~drop)]
-        counts = ends[kept[first[1:]]] - ends[kept[first[:-1]]]
+        slow = np.flatnonzero((bad[first[1:]] > bad[first[:-1]])
+                              | pc.match_substring(texts, _MARK).to_numpy(zero_copy_only=False))
+        size = np.fromiter((len(x) if x else 0 for x in ids), np.int32, len(ids))
+        flat = np.fromiter(chain.from_iterable(x for x in ids if x), self.kind, int(size.sum()))
+        begin = (np.cumsum(size, dtype=np.int64) - size)
+        n = size[code]
+        ends = np.r_[0, np.cumsum(n, dtype=np.int64)]
+        tokens = flat[np.repeat(begin[code] - ends[:-1], n) + np.arange(ends[-1])]
+        counts = ends[first[1:]] - ends[first[:-1]]
         if len(slow):
             parts = np.split(tokens, np.cumsum(counts)[:-1])
             for i in slow:
