@@ -11,6 +11,8 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+
+from proplens.functions.names import col
 from pyspark.sql import types as T
 
 from proplens.functions.scalar import coerce_numeric, finite_or_null
@@ -26,18 +28,18 @@ def filter_equals(df: DataFrame, equals: Mapping[str, object]) -> DataFrame:
     """Conjunctive equality filter; rows with NULL in a filter column drop."""
     cond = F.lit(True)
     for c, v in equals.items():
-        cond = cond & (F.col(c) == F.lit(v))
+        cond = cond & (col(c) == F.lit(v))
     return df.where(cond)
 
 
 def project(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.select(*[F.col(c) for c in columns])
+    return df.select(*[col(c) for c in columns])
 
 
 def keep_existing(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Tolerant projection: the wanted columns that exist, in wanted order."""
     have = set(df.columns)
-    return df.select(*[F.col(c) for c in columns if c in have])
+    return df.select(*[col(c) for c in columns if c in have])
 
 
 def added_columns(before: DataFrame | Sequence[str], after: DataFrame | Sequence[str]) -> list[str]:
@@ -65,10 +67,10 @@ def select_kind(df: DataFrame, kinds: Iterable[str] = ("number",), exclude: bool
 
 def _is_missing(df: DataFrame, c: str):
     dt = df.schema[c].dataType
-    col = F.col(c)
+    value = col(c)
     if isinstance(dt, (T.DoubleType, T.FloatType)):
-        return col.isNull() | F.isnan(col)
-    return col.isNull()
+        return value.isNull() | F.isnan(value)
+    return value.isNull()
 
 
 def missing_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -128,7 +130,7 @@ def add_property_age(df: DataFrame, date_col: str = "CloseDate", built_col: str
     for c in df.columns:
         if c == built_col:
             continue
-        cols.append(F.col(c))
+        cols.append(col(c))
     return df.select(*cols, (F.year(date_col).cast("double") - F.col(built_col)).alias(out))
 
 
@@ -141,9 +143,9 @@ def coerce_numeric_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     out = []
     for f in df.schema.fields:
         if f.name not in want:
-            out.append(F.col(f.name))
+            out.append(col(f.name))
         elif isinstance(f.dataType, (*NUMERIC_TYPES, T.BooleanType)):
-            out.append(finite_or_null(F.col(f.name).cast("double")).alias(f.name))
+            out.append(finite_or_null(col(f.name).cast("double")).alias(f.name))
         else:
             out.append(coerce_numeric(f.name).alias(f.name))
     return df.select(*out)
@@ -155,9 +157,9 @@ def inf_to_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     out = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)) and (want is None or f.name in want):
-            out.append(finite_or_null(f.name).alias(f.name))
+            out.append(finite_or_null(col(f.name)).alias(f.name))
         else:
-            out.append(F.col(f.name))
+            out.append(col(f.name))
     return df.select(*out)
 
 
@@ -178,7 +180,7 @@ def fit_medians(df: DataFrame, columns: Sequence[str], accuracy: int = 10000) ->
     """
     cols = list(columns)
     long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("_name"), F.col(c).cast("double").alias("_value")) for c in cols])).alias("_s")
+        F.struct(F.lit(c).alias("_name"), col(c).cast("double").alias("_value")) for c in cols])).alias("_s")
     ).select("_s._name", "_s._value")
     med = exact_quantiles(long, "_value", [0.5], ["_median"], ["_name"], accuracy)
     row = med.agg(*[F.coalesce(F.max(F.when(F.col("_name") == c, F.col("_median"))), F.lit(0.0)).alias(c)
@@ -189,7 +191,7 @@ def fit_medians(df: DataFrame, columns: Sequence[str], accuracy: int = 10000) ->
 def apply_fill(df: DataFrame, stats: DataFrame | Mapping[str, object]) -> DataFrame:
     """Fill NULLs with fitted constants (a one-row table or a dict), inlined as literals."""
     values = stats.first().asDict() if isinstance(stats, DataFrame) else dict(stats)
-    return df.select(*[F.coalesce(F.col(c), F.lit(values[c])).alias(c) if c in values else F.col(c)
+    return df.select(*[F.coalesce(col(c), F.lit(values[c])).alias(c) if c in values else col(c)
                        for c in df.columns])
 
 
@@ -205,7 +207,7 @@ def fit_modes(df: DataFrame, columns: Sequence[str], default: str = "Unknown") -
     """
     cols = list(columns)
     long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("_name"), F.col(c).cast("string").alias("_value")) for c in cols])).alias("_s")
+        F.struct(F.lit(c).alias("_name"), col(c).cast("string").alias("_value")) for c in cols])).alias("_s")
     ).select("_s._name", "_s._value").where(F.col("_value").isNotNull())
     counts = long.groupBy("_name", "_value").agg(F.count(F.lit(1)).alias("_n"))
     best = counts.groupBy("_name").agg(

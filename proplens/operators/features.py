@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from proplens.functions.names import col
+
 from proplens.functions.scalar import finite_or_null, flag, log1p_clipped, safe_divide
 from proplens.operators.clean import coerce_numeric_columns
 
@@ -91,4 +93,4 @@ def create_features(df: DataFrame) -> DataFrame:
     base = coerce_numeric_columns(df, [c for c in REQUIRED_COLUMNS if c in df.columns])
     out = age_squared(age_flags(log_features(linear_features(ratio_features(base)))))
     dbl = {f.name for f in out.schema.fields if f.dataType.typeName() in ("double", "float")}
-    return out.select(*[finite_or_null(c).alias(c) if c in dbl else F.col(c) for c in out.columns])
+    return out.select(*[finite_or_null(col(c)).alias(c) if c in dbl else col(c) for c in out.columns])

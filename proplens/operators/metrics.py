@@ -45,12 +45,13 @@ def band_dimension(spark: SparkSession, bands=PRICE_BANDS, label_col: str = "Pri
 
 
 def _metric_aggs(actual: str, predicted: str):
-    a, p = F.col(actual), F.col(predicted)
+    # Every sum and count is over the rows that have both values.
+    both = F.col(actual).isNotNull() & F.col(predicted).isNotNull()
+    a, p = F.when(both, F.col(actual)), F.when(both, F.col(predicted))
     e = a - p
-    valid = a.isNotNull() & p.isNotNull() & (a != 0)
-    ape = F.when(valid, F.abs(e / a))
+    ape = F.when(a != 0, F.abs(e / a))
     return [
-        F.count(F.lit(1)).alias("ObservationCount"),
+        F.count(a).alias("ObservationCount"),
         F.avg(F.abs(e)).alias("_mae"),
         F.sqrt(F.avg(e * e)).alias("_rmse"),
         (F.avg(ape) * 100).alias("_mape"),
@@ -60,13 +61,18 @@ def _metric_aggs(actual: str, predicted: str):
     ]
 
 
+def unscored_rows(df: DataFrame, actual: str = "ActualClosePrice", predicted: str = "PredictedClosePrice") -> int:
+    """Rows that the metrics leave out because the actual or the predicted value is missing."""
+    return df.where(F.col(actual).isNull() | F.col(predicted).isNull()).count()
+
+
 def regression_metrics(df: DataFrame, actual: str = "ActualClosePrice",
                        predicted: str = "PredictedClosePrice", group_cols: Sequence[str] = (),
                        rounded: bool = True, mdape_accuracy: int = 10000,
                        inline_limit: int | None = INLINE_LIMIT) -> DataFrame:
     """MAE, RMSE, MAPE, MdAPE (percent, rows with actual = 0 skipped) and R^2.
 
-    R^2 follows the usual library convention: fewer than two rows -> NULL; a
+    Rows without an actual or a predicted value count nowhere (see ``unscored_rows``).  R^2 follows the usual library convention: fewer than two rows -> NULL; a
     constant actual gives 1 for an exact fit and 0 otherwise.
     """
     groups = list(group_cols)

@@ -11,13 +11,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from proplens.functions.names import col
+
 from proplens.operators.joins import join_group_stats
 from proplens.operators.quantiles import exact_quantiles
 
 
 def _stack(df: DataFrame, columns: Sequence[str], name: str = "column_name", value: str = "value") -> DataFrame:
     return df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias(name), F.col(c).cast("double").alias(value)) for c in columns])).alias("_s")
+        F.struct(F.lit(c).alias(name), col(c).cast("double").alias(value)) for c in columns])).alias("_s")
     ).select(f"_s.{name}", f"_s.{value}")
 
 
@@ -30,7 +32,7 @@ def describe(df: DataFrame, columns: Sequence[str], digits: int = 4) -> DataFram
     q = exact_quantiles(long, "value", [0.25, 0.5, 0.75], ["q25", "q50", "q75"], ["column_name"])
     order = F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("column_name")).cast("int")
     j = basic.join(q, "column_name", "left")
-    r = lambda c: F.round(F.col(c), digits).alias(c)
+    r = lambda c: F.round(col(c), digits).alias(c)
     return j.select("column_name", order.alias("ordinal"), "count", r("mean"), r("std"), r("min"),
                     r("q25"), r("q50"), r("q75"), r("max"))
 
@@ -116,8 +118,8 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None, approx:
     cols = list(columns or df.columns)
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     dist = F.approx_count_distinct if approx else F.countDistinct
-    agg = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"_m{i}") for i, c in enumerate(cols)],
-                 *[dist(F.col(c)).alias(f"_d{i}") for i, c in enumerate(cols)])
+    agg = df.agg(*[F.count_if(col(c).isNull()).alias(f"_m{i}") for i, c in enumerate(cols)],
+                 *[dist(col(c)).alias(f"_d{i}") for i, c in enumerate(cols)])
     return agg.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.lit(i + 1).alias("ordinal"), F.lit(types[c]).alias("data_type"),
                  F.col(f"_m{i}").cast("long").alias("missing_count"),
@@ -149,10 +151,10 @@ def scatter_grid(df: DataFrame, x: str, y: str, bins: int = 20, group_cols: Sequ
     j = join_group_stats(df, rng, groups)
 
     def b(c):
-        raw = F.floor((F.col(c) - F.col("_lo")) * bins / (F.col("_hi") - F.col("_lo")))
+        raw = F.floor((col(c) - F.col("_lo")) * bins / (F.col("_hi") - F.col("_lo")))
         return F.when(F.col("_hi") == F.col("_lo"), 0).otherwise(F.least(raw, F.lit(bins - 1))).cast("int")
 
-    return j.where(F.col(x).isNotNull() & F.col(y).isNotNull()) \
+    return j.where(col(x).isNotNull() & F.col(y).isNotNull()) \
             .groupBy(*groups, b(x).alias("x_bin"), b(y).alias("y_bin")) \
             .agg(F.count(F.lit(1)).alias("count"))
 

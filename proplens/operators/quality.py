@@ -11,6 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+
+from proplens.functions.names import col
 from pyspark.sql import types as T
 
 from proplens.operators.clean import NUMERIC_TYPES
@@ -35,8 +37,8 @@ def quality_rules(df: DataFrame, dataset: str, required: Sequence[str] = (), tar
     aggs = [F.count(F.lit(1)).alias("_rows")]
     if target and target in have:
         aggs.append(F.count_if(F.col(target).isNull()).alias("_t"))
-    aggs += [F.count_if(F.col(c).isNull()).alias(f"_p{i}") for i, c in enumerate(preds)]
-    aggs += [F.count_if(F.abs(F.col(c)) == F.lit(float("inf"))).alias(f"_i{i}") for i, c in enumerate(dbl)]
+    aggs += [F.count_if(col(c).isNull()).alias(f"_p{i}") for i, c in enumerate(preds)]
+    aggs += [F.count_if(F.abs(col(c)) == F.lit(float("inf"))).alias(f"_i{i}") for i, c in enumerate(dbl)]
     one = df.agg(*aggs)
     items = [F.struct(F.lit("not_empty").alias("rule"), F.lit(None).cast("string").alias("column"),
                       F.when(F.col("_rows") == 0, 1).otherwise(0).cast("long").alias("violations"))]

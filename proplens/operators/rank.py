@@ -13,10 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def sort_by(df: DataFrame, keys: Sequence[Column | str]) -> DataFrame:
-    return df.orderBy(*keys)
-
-
 def leaderboard(df: DataFrame, metric: str = "R2", ascending: bool = False, name_col: str = "Model",
                 second: tuple[str, bool] | None = None) -> DataFrame:
     """Sort by one metric (and optionally a second), name as the final tie-break; adds Rank."""
@@ -49,19 +45,21 @@ def top_abs(df: DataFrame, value: str, k: int, name_col: str) -> DataFrame:
 
 def select_best(df: DataFrame, name_col: str = "Model", metric: str = "RMSE", lower_is_better: bool = True,
                 tie: str | None = "R2") -> DataFrame:
-    """One row: the arg-best model (min metric; ties by higher ``tie`` then name)."""
+    """One row: the arg-best model (min metric; ties by higher ``tie`` then name; no metric is never best)."""
     m = F.col(metric) if lower_is_better else -F.col(metric)
-    key = [m]
+    key = [m.alias("m")]
     if tie:
-        key.append(-F.col(tie))
-    key.append(F.col(name_col))
-    return df.agg(F.min_by(F.col(name_col), F.struct(*key)).alias(f"Best{name_col}"))
+        key += [F.col(tie).isNull().alias("unknown"), (-F.col(tie)).alias("tie")]
+    key.append(F.col(name_col).alias("name"))
+    # A missing metric gives no key, and min_by skips rows without one.
+    return df.agg(F.min_by(F.col(name_col), F.when(m.isNotNull(), F.struct(*key))).alias(f"Best{name_col}"))
 
 
 def best_and_worst(df: DataFrame, name_col: str, metric: str) -> DataFrame:
-    """One row: lowest and highest ``metric`` labels (name breaks ties)."""
-    return df.agg(F.min_by(F.col(name_col), F.struct(F.col(metric), F.col(name_col))).alias("Best"),
-                  F.min_by(F.col(name_col), F.struct(-F.col(metric), F.col(name_col))).alias("Worst"),
+    """One row: lowest and highest ``metric`` labels (name breaks ties; rows without the metric are neither)."""
+    known = F.col(metric).isNotNull()
+    return df.agg(F.min_by(F.col(name_col), F.when(known, F.struct(F.col(metric), F.col(name_col)))).alias("Best"),
+                  F.min_by(F.col(name_col), F.when(known, F.struct(-F.col(metric), F.col(name_col)))).alias("Worst"),
                   F.min(metric).alias(f"Best{metric}"), F.max(metric).alias(f"Worst{metric}"))
 
 
@@ -69,7 +67,7 @@ def best_vs_second(df: DataFrame, name_col: str = "Model", order_metric: str = "
                    deltas: Sequence[str] = ("RMSE", "MAE", "R2"), digits: int = 6) -> DataFrame:
     """Best (lowest ``order_metric``) minus runner-up for each metric, one row."""
     w = Window.orderBy(F.col(order_metric), F.col(name_col))
-    ranked = df.withColumn("_rn", F.row_number().over(w))
+    ranked = df.where(F.col(order_metric).isNotNull()).withColumn("_rn", F.row_number().over(w))
     nxt = {m: F.lead(m).over(w) for m in deltas}
     with_next = ranked.select(
         "_rn", F.col(name_col).alias("Best"), F.lead(name_col).over(w).alias("RunnerUp"),

@@ -2,8 +2,8 @@
 
 ``split_chronological`` returns exactly the rows a global ``row_number`` over
 (order columns) would put first, without sorting all rows in one task: it
-counts rows per date (a small table), finds the boundary date from a running
-total, and ranks only the boundary date's rows.
+counts rows per date, narrows bucket sums down to the boundary date, and
+ranks only that date's rows.
 """
 
 from __future__ import annotations
@@ -11,9 +11,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from proplens.functions.names import col
+
 
 def split_by_date(df: DataFrame, date_col: str, cutoff: str) -> tuple[DataFrame, DataFrame]:
     """(train, test): train < cutoff <= test; NULL dates go to neither."""
@@ -28,12 +30,49 @@ def fit_count(n: int, fraction: float) -> int:
         raise ValueError("validation fraction must be between 0 and 1")
     cut = int(math.floor(n * (1 - fraction)))
     if cut <= 0 or cut >= n:
-        raise ValueError("chronological validation split produced an empty subset")
+        raise ValueError(f"fraction {fraction} of {n} rows leaves one side of the split without rows")
     return cut
 
 
-MAX_DATES_ON_DRIVER = 200_000
-RANK_IN_ONE_TASK = 1_000_000
+BUCKETS = 4096
+
+
+def date_key(df: DataFrame, date_col: str) -> Column:
+    """A date, timestamp or whole number as a long that orders the same way, made inside Spark.
+
+    Instants give their microseconds; dates and timestamps without a zone their day and time as written, which no time
+    zone moves.
+    """
+    d, kind = F.col(date_col), df.schema[date_col].dataType.typeName()
+    if kind in ("byte", "short", "integer", "long"):
+        return d.cast("long")
+    if kind == "timestamp":
+        return F.unix_micros(d)
+    day = F.unix_date(d.cast("date")).cast("long") * 86_400_000_000
+    if kind == "date":
+        return day
+    second = (F.date_part(F.lit("SECOND"), d) * 1_000_000).cast("long")
+    return day + F.hour(d) * 3_600_000_000 + F.minute(d) * 60_000_000 + second
+
+
+def _boundary(counts: DataFrame, cut: int) -> tuple[int, int]:
+    """(key, rows before it) of the key at which the running count reaches ``cut``.
+
+    counts: key, n.  The key range is cut into at most BUCKETS buckets; their sums show the boundary bucket, which is
+    cut again until it is one key.  Only bucket sums reach the driver.
+    """
+    lo, hi = counts.agg(F.min("key"), F.max("key")).first()
+    before = 0
+    while lo < hi:
+        width = -(-(hi - lo + 1) // BUCKETS)
+        sums = (counts.where(F.col("key").between(lo, hi)).withColumn("b", F.expr(f"(key - ({lo}L)) div {width}L"))
+                .groupBy("b").agg(F.sum("n").alias("n")).collect())
+        for b, n in sorted((r["b"], r["n"]) for r in sums):
+            if before + n >= cut:
+                break
+            before += n
+        lo, hi = lo + b * width, min(hi, lo + (b + 1) * width - 1)
+    return lo, before
 
 
 def split_chronological(df: DataFrame, date_col: str, tiebreak: Sequence[str], fraction: float = 0.2,
@@ -43,46 +82,21 @@ def split_chronological(df: DataFrame, date_col: str, tiebreak: Sequence[str], f
     Returns (fit, validation, cut).  ``tiebreak`` should make the order total;
     fully identical rows are interchangeable, so any of them may be taken.
 
-    Plan: rows per date (a calendar-sized table, one aggregate job) -> running
-    total -> the one boundary date.  Only that date's rows need a rank:
-    a window over them when the date is small (size known from the counts),
-    otherwise a range partitioning on the tiebreak columns plus a salt (so even
-    one huge date, or many copies of one row, spreads over all tasks),
-    checkpointed to pin the partitioning so that per-partition offsets stay
-    valid.
+    Rows are counted per date once; bucket sums of those counts lead to the one boundary date, whatever the number of
+    dates.  Only that date's rows need a rank: a range partitioning on the tiebreak columns plus a salt, so that one huge
+    date, or many copies of one row, spreads over all tasks, checkpointed so that per-partition offsets stay valid.
     """
     spark = df.sparkSession
-    per_date = df.groupBy(date_col).agg(F.count(F.lit(1)).alias("_n"))
-    rows = per_date.limit(MAX_DATES_ON_DRIVER + 1).collect()
-    if len(rows) <= MAX_DATES_ON_DRIVER:
-        rows = sorted((r for r in rows if r[0] is not None), key=lambda r: r[0])
-        total = sum(int(r[1]) for r in rows) if n is None else n
-        cut = fit_count(total, fraction)
-        before_n = 0
-        for d, c in rows:
-            if before_n + c >= cut:
-                bdate, take, day_rows = d, cut - before_n, int(c)
-                break
-            before_n += c
-    else:
-        # Fine-grained "dates": rank the date table itself with a running total.
-        total = df.where(F.col(date_col).isNotNull()).count() if n is None else n
-        cut = fit_count(total, fraction)
-        w = Window.orderBy(date_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        cum = per_date.where(F.col(date_col).isNotNull()).withColumn("_cum", F.sum("_n").over(w))
-        b = cum.where((F.col("_cum") - F.col("_n") < cut) & (F.col("_cum") >= cut)).first()
-        bdate, take, day_rows = b[0], cut - (int(b["_cum"]) - int(b["_n"])), int(b["_n"])
-    # A text literal cast to the column's type: no Python/session time-zone shift.
-    bd = F.lit(str(bdate)).cast(df.schema[date_col].dataType)
-    cols = df.columns
-    before = df.where(F.col(date_col) < bd)
-    after = df.where(F.col(date_col) > bd)
-    day = df.where(F.col(date_col) == bd)
-    order = [F.col(c) for c in tiebreak]
-    if day_rows <= RANK_IN_ONE_TASK:
-        ranked = day.withColumn("_rank", F.row_number().over(Window.partitionBy(date_col).orderBy(*order)) - 1)
-    else:
-        ranked = _rank_spread(day, order, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    key = date_key(df, date_col)
+    counts = (df.where(F.col(date_col).isNotNull()).groupBy(key.alias("key")).agg(F.count(F.lit(1)).alias("n"))
+              .checkpoint(eager=True))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    cut = fit_count(total if n is None else n, fraction)
+    edge, before_n = _boundary(counts, cut)
+    take = cut - before_n
+    cols = [col(c) for c in df.columns]
+    before, after, day = df.where(key < edge), df.where(key > edge), df.where(key == edge)
+    ranked = _rank_spread(day, [col(c) for c in tiebreak], int(spark.conf.get("spark.sql.shuffle.partitions")))
     fit = before.select(*cols).unionByName(ranked.where(F.col("_rank") < take).select(*cols))
     val = after.select(*cols).unionByName(ranked.where(F.col("_rank") >= take).select(*cols))
     return fit, val, cut

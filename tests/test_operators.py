@@ -125,7 +125,7 @@ def test_split_spread_rank_matches(spark, monkeypatch):
     from pyspark.sql import Window
     rows = [(1, i % 50, float(i % 7)) for i in range(400)] + [(0, i, 0.0) for i in range(100)]
     df = spark.createDataFrame(rows, "d int, k int, v double")
-    monkeypatch.setattr(split, "RANK_IN_ONE_TASK", 10)
+    monkeypatch.setattr(split, "BUCKETS", 3)
     fit, val, cut = split.split_chronological(df, "d", ["k", "v"], 0.2)
     assert cut == 400 and fit.count() == 400 and val.count() == 100
     rn = df.withColumn("rn", F.row_number().over(Window.orderBy("d", "k", "v")))
@@ -194,3 +194,54 @@ def test_row_counts_generic(spark):
     a = spark.createDataFrame([(1,), (2,)], "x int")
     out = profile.row_counts(spark, [("a", a), ("b", a.where("x > 1"))]).orderBy("stage_order").collect()
     assert [(r["stage"], r["rows"], r["columns"]) for r in out] == [("a", 2, 1), ("b", 1, 1)]
+
+
+def test_null_predictions_count_nowhere(spark):
+    from proplens.operators import metrics
+    df = spark.createDataFrame([(1.0, 1.0), (2.0, None), (30.0, None), (4.0, 5.0), (None, 3.0)],
+                               "ActualClosePrice double, PredictedClosePrice double")
+    r = metrics.regression_metrics(df).first()
+    assert (r["ObservationCount"], r["MAE"], r["R2"]) == (2, 0.5, round(1 - 1 / 4.5, 6))
+    assert metrics.unscored_rows(df) == 3
+    assert metrics.regression_metrics(df, inline_limit=None).first() == r
+
+
+def test_missing_metric_never_wins(spark):
+    from proplens.operators import rank
+    df = spark.createDataFrame([("a", None, 0.1), ("b", 2.0, None), ("c", 2.0, 0.5), ("d", 3.0, 0.9)],
+                               "Model string, RMSE double, R2 double")
+    assert rank.select_best(df).first()[0] == "c"
+    r = rank.best_and_worst(df, "Model", "RMSE").first()
+    assert (r["Best"], r["Worst"]) == ("b", "d")
+    s = rank.best_vs_second(df, deltas=("RMSE",)).first()
+    assert (s["Best"], s["RunnerUp"], s["RMSEDelta"]) == ("b", "c", 0.0)
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date"])
+def test_chronological_split_in_another_time_zone(spark, kind, monkeypatch):
+    import time
+    from proplens.operators import split
+    step = "day" if kind == "date" else "hour"
+    df = spark.range(240).selectExpr("id", f"cast(timestamp'2020-03-01 00:00:00.25' + id * interval 1 {step} as {kind}) d")
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        fit, val, cut = split.split_chronological(df, "d", ["id"], 0.2)
+        assert cut == 192 and {r[0] for r in fit.select("id").collect()} == set(range(192)) and val.count() == 48
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
+def test_odd_column_names(spark):
+    from proplens.operators import clean, encode
+    df = spark.createDataFrame([("St. Helena", "x", 1.0, float("inf")), ("a`b", "y", None, 2.0), ("z", "y", 3.0, 1.0)],
+                               "City string, g string, `p.q` double, `r``s` double")
+    wide = encode.one_hot_wide(df, ["City", "g"])
+    assert wide.columns == ["p.q", "r`s", "City_a`b", "City_z", "g_y"]
+    assert encode.align_columns(wide.columns, wide).columns == wide.columns
+    assert clean.inf_to_null(wide).columns == wide.columns
+    fixed = clean.apply_fill(df, {"p.q": 9.0, "r`s": 0.0}).collect()
+    assert [r["p.q"] for r in fixed] == [1.0, 9.0, 3.0]
+    assert {r["column_name"] for r in clean.missing_summary(df).collect()} == set(df.columns)
+    assert clean.project(df, ["p.q", "r`s"]).columns == ["p.q", "r`s"]
