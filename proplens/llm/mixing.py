@@ -109,6 +109,8 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     plan = plan.withColumn("budget", F.col("target") - F.col("whole") * F.col("source_size"))
     edges = thresholds(rows, plan, bits).withColumnRenamed("source", "edge_source")
     plan = plan.join(edges, F.col("source").eqNullSafe(F.col("edge_source"))).withColumnRenamed("source", "plan_source")
+    # Written, so that Spark sees its real size: a few sources are broadcast and the documents stay where they are.
+    plan = written(plan, "plan")
     copies = F.col("whole") + F.when((F.col("point") < F.col("threshold")) & (F.col("budget") > 0), 1).otherwise(0)
     return rows.join(plan, F.col("source").eqNullSafe(F.col("plan_source"))).select(
         *[c for c in rows.columns if c != "point"], "source_size", "target", copies.cast("long").alias("copies"),
