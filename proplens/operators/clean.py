@@ -171,7 +171,7 @@ def _one_row(spark, values: Mapping[str, object], typ: str) -> DataFrame:
     return spark.createDataFrame([tuple(values.values())], schema)
 
 
-def fit_medians(df: DataFrame, columns: Sequence[str], accuracy: int = 10000) -> DataFrame:
+def fit_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Fit: one exact median per column (all-NULL column -> 0.0), as a one-row table.
 
     The columns are stacked to (name, value) so that every median is computed
@@ -182,7 +182,7 @@ def fit_medians(df: DataFrame, columns: Sequence[str], accuracy: int = 10000) ->
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("_name"), col(c).cast("double").alias("_value")) for c in cols])).alias("_s")
     ).select("_s._name", "_s._value")
-    med = exact_quantiles(long, "_value", [0.5], ["_median"], ["_name"], accuracy)
+    med = exact_quantiles(long, "_value", [0.5], ["_median"], ["_name"])
     row = med.agg(*[F.coalesce(F.max(F.when(F.col("_name") == c, F.col("_median"))), F.lit(0.0)).alias(c)
                     for c in cols]).first()
     return _one_row(df.sparkSession, {c: float(row[c]) for c in cols}, "double")

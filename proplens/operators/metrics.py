@@ -1,7 +1,7 @@
 """Prediction errors, price bands and regression metrics.
 
 All metrics of a group come from one ``groupBy`` (partial aggregation, so a
-hot group is pre-combined map-side) plus the exact, bracketed median of the
+hot group is pre-combined map-side) plus the exact median of the
 percentage errors (see ``quantiles``).
 """
 
@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from proplens.functions.scalar import PRICE_BANDS, band_label, band_order, finite_or_null, safe_divide
-from proplens.operators.quantiles import INLINE_LIMIT, exact_median, groups_fit_inline
+from proplens.operators.joins import join_null_safe
+from proplens.operators.quantiles import exact_median
 
 METRIC_COLUMNS = ["MAE", "RMSE", "MAPE", "MdAPE", "R2"]
 
@@ -68,8 +69,7 @@ def unscored_rows(df: DataFrame, actual: str = "ActualClosePrice", predicted: st
 
 def regression_metrics(df: DataFrame, actual: str = "ActualClosePrice",
                        predicted: str = "PredictedClosePrice", group_cols: Sequence[str] = (),
-                       rounded: bool = True, mdape_accuracy: int = 10000,
-                       inline_limit: int | None = INLINE_LIMIT) -> DataFrame:
+                       rounded: bool = True) -> DataFrame:
     """MAE, RMSE, MAPE, MdAPE (percent, rows with actual = 0 skipped) and R^2.
 
     Rows without an actual or a predicted value count nowhere (see ``unscored_rows``).  R^2 follows the usual library convention: fewer than two rows -> NULL; a
@@ -79,11 +79,8 @@ def regression_metrics(df: DataFrame, actual: str = "ActualClosePrice",
     a, p = F.col(actual), F.col(predicted)
     valid = a.isNotNull() & p.isNotNull() & (a != 0)
     ape = F.when(valid, F.abs((a - p) / a))
-    if inline_limit is not None and groups_fit_inline(df, groups, inline_limit):
-        # Every group is provably small: the exact median fuses into the one aggregate.
-        joined = df.groupBy(*groups).agg(*_metric_aggs(actual, predicted), F.median(ape).alias("_mdape"))
-    else:
-        joined = _with_distributed_mdape(df, ape, groups, actual, predicted, mdape_accuracy)
+    # The median leaves out groups without any percentage; those keep a null.
+    joined = _with_mdape(df, ape, groups, actual, predicted)
     r2 = (F.when(F.col("_na") < 2, F.lit(None).cast("double"))
            .when(F.col("_sstot") == 0, F.when(F.col("_ssres") == 0, 1.0).otherwise(0.0))
            .otherwise(1 - F.col("_ssres") / F.col("_sstot")))
@@ -96,16 +93,13 @@ def regression_metrics(df: DataFrame, actual: str = "ActualClosePrice",
     return joined.select(*groups, "ObservationCount", *[v.alias(k) for k, v in cols.items()])
 
 
-def _with_distributed_mdape(df, ape, groups, actual, predicted, accuracy):
+def _with_mdape(df, ape, groups, actual, predicted):
+    """The aggregates per group beside the median of ``ape``, both small tables."""
     stats = df.groupBy(*groups).agg(*_metric_aggs(actual, predicted))
-    ape_df = df.select(*groups, ape.alias("_ape"))
-    med = exact_median(ape_df, "_ape", groups, name="_mdape", accuracy=accuracy, inline_limit=None)
-    if groups:
-        joined = stats.join(med, groups, "left")
-    else:  # a global median is one number: fitted eagerly, inlined as a literal
-        v = med.agg(F.max("_mdape")).first()[0]
-        joined = stats.withColumn("_mdape", F.lit(v).cast("double"))
-    return joined
+    med = exact_median(df.select(*groups, ape.alias("_ape")), "_ape", groups, name="_mdape")
+    if not groups:  # a global median is one number: fitted eagerly, inlined as a literal
+        return stats.withColumn("_mdape", F.lit(med.first()[0]).cast("double"))
+    return join_null_safe(stats, med, groups, "left")
 
 
 def metrics_by_band(df: DataFrame, actual: str = "ActualClosePrice",

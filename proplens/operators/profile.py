@@ -7,12 +7,12 @@ afterwards on the tiny result.  Nothing is collected to the driver.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from proplens.functions.names import col
-
 from proplens.operators.joins import join_group_stats
 from proplens.operators.quantiles import exact_quantiles
 
@@ -73,24 +73,34 @@ def histogram(df: DataFrame, column: str, bins: int = 50, group_cols: Sequence[s
                       F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"))
 
 
+#: Columns on each side of a block of pairs; one aggregate computes up to the square of it.
+BLOCK = 6
+
+
 def _pair_stats(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """Pairwise-complete correlation per (a, b) pair.
+    """Pairwise-complete correlation per (a, b) pair; a constant column gives NULL (never an error).
 
-    The pairs are stacked to rows (pair, x, y) and aggregated with three
-    small aggregates grouped by pair: the hash aggregate keeps one buffer per
-    pair (map-side combined), and the generated code stays small however many
-    pairs there are.  A constant column gives NULL (never an error).
+    The pairs lie side by side in aggregates without groups, one per block of columns: rows are never multiplied,
+    and a block's scan reads its own columns only.
     """
-    stacked = df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_p"), F.col(a).cast("double").alias("_x"), F.col(b).cast("double").alias("_y"))
-        for i, (a, b) in enumerate(pairs)])).alias("_s")).select("_s.*") \
-        .where(F.col("_x").isNotNull() & F.col("_y").isNotNull())
-    agg = stacked.groupBy("_p").agg(
-        F.try_divide(F.covar_pop("_x", "_y"), F.stddev_pop("_x") * F.stddev_pop("_y")).alias("_c"))
-    names = df.sparkSession.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)],
-                                            "_p int, column_a string, column_b string")
-    # The pair table is as small as the column list.
-    return F.broadcast(names).join(agg, "_p", "left").select("column_a", "column_b", F.col("_c").alias("correlation"))
+    places: dict[str, int] = {}
+    for pair in pairs:
+        for c in pair:
+            places.setdefault(c, len(places) // BLOCK)
+    blocks: dict[tuple[int, int], list[tuple[str, str]]] = {}
+    for a, b in pairs:
+        blocks.setdefault((places[a], places[b]), []).append((a, b))
+    parts = []
+    for members in blocks.values():
+        aggs = []
+        for i, (a, b) in enumerate(members):
+            x, y = col(a).cast("double"), col(b).cast("double")
+            aggs.append(F.try_divide(F.regr_sxy(y, x), F.sqrt(F.regr_sxx(y, x)) * F.sqrt(F.regr_syy(y, x)))
+                        .alias(f"_c{i}"))
+        parts.append(df.agg(*aggs).select(F.explode(F.array(*[
+            F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"_c{i}").alias("correlation"))
+            for i, (a, b) in enumerate(members)])).alias("_s")).select("_s.*"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
@@ -114,17 +124,30 @@ def target_correlation(df: DataFrame, target: str, columns: Sequence[str], k: in
 
 
 def column_profile(df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
-    """(column_name, ordinal, data_type, missing_count, distinct_count) in one aggregate."""
+    """(column_name, ordinal, data_type, missing_count, distinct_count).
+
+    Exact counts group each column by itself: its scan reads that column only, and only its distinct values are
+    shuffled.  With ``approx`` all columns share one aggregate of sketches.
+    """
     cols = list(columns or df.columns)
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    dist = F.approx_count_distinct if approx else F.countDistinct
-    agg = df.agg(*[F.count_if(col(c).isNull()).alias(f"_m{i}") for i, c in enumerate(cols)],
-                 *[dist(col(c)).alias(f"_d{i}") for i, c in enumerate(cols)])
-    return agg.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.lit(i + 1).alias("ordinal"), F.lit(types[c]).alias("data_type"),
-                 F.col(f"_m{i}").cast("long").alias("missing_count"),
-                 F.col(f"_d{i}").cast("long").alias("distinct_count"))
-        for i, c in enumerate(cols)])).alias("_s")).select("_s.*")
+
+    def row(i, missing, distinct):
+        return F.struct(F.lit(cols[i]).alias("column_name"), F.lit(i + 1).alias("ordinal"),
+                        F.lit(types[cols[i]]).alias("data_type"), missing.cast("long").alias("missing_count"),
+                        distinct.cast("long").alias("distinct_count"))
+
+    if approx:
+        agg = df.agg(*[F.count_if(col(c).isNull()).alias(f"_m{i}") for i, c in enumerate(cols)],
+                     *[F.approx_count_distinct(col(c)).alias(f"_d{i}") for i, c in enumerate(cols)])
+        return agg.select(F.explode(F.array(*[
+            row(i, F.col(f"_m{i}"), F.col(f"_d{i}")) for i in range(len(cols))])).alias("_s")).select("_s.*")
+    parts = []
+    for i, c in enumerate(cols):
+        values = df.select(col(c).alias("_x")).groupBy("_x").agg(F.count(F.lit(1)).alias("_n"))
+        parts.append(values.agg(row(i, F.coalesce(F.sum(F.when(F.col("_x").isNull(), F.col("_n"))), F.lit(0)),
+                                    F.count("_x")).alias("_s")).select("_s.*"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def category_counts(df: DataFrame, dimension: DataFrame, key: str, order_col: str,

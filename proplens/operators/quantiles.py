@@ -1,218 +1,98 @@
-"""Exact quantiles that never hold one group in one task.
-
-Spark's exact ``percentile``/``median`` aggregates keep a value -> count map
-per group and merge it in a single task, so one hot group (say a third of all
-rows) would sit in one executor's memory.  ``exact_quantiles`` instead:
-
-1. builds a mergeable approximate sketch per group (``percentile_approx``,
-   partial aggregation) and takes a rank bracket around every wanted
-   quantile, wide enough for the sketch's rank-error guarantee;
-2. counts the values per group again, keeping each value inside a bracket and
-   collapsing every value outside all brackets into one counter per gap, so the
-   shuffled state per group is ~ (#quantiles x 6/accuracy x n) distinct values;
-3. ranks those few entries with a running sum and interpolates linearly
-   (``v[floor(pos)] + (v[ceil(pos)] - v[floor(pos)]) * frac``, pos = p(n-1)),
-   which is the exact answer numpy/pandas give.
-
-If a bracket ever misses its rank, that group alone is recomputed from its full
-value distribution (a semi-join on the missed groups; empty in practice), so
-the result is always exact.
-
-Groups that are provably small (the largest group has at most
-``inline_limit`` rows, checked with one count aggregate) use Spark's exact
-``percentile`` aggregate directly, which fuses into the caller's ``groupBy``
-and needs no extra passes; the per-group value map is then bounded.
-"""
-
-from __future__ import annotations
+"""Exact quantiles in three counting passes, by one method at every size.
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+Every double has an integer key of the same order (``order_key``: exponent and
+mantissa, as in its IEEE form).  A quantile's rank is found digit by digit:
 
-from proplens.operators.joins import join_group_stats
+1. count the values per group and upper 20 bits of the key; a running sum over
+   these counts gives, for each wanted rank, its bucket and its rank therein;
+2. count the values of those buckets only by the next 22 bits, choose again;
+3. count the values of the buckets left by the last 22 bits, that is by value.
 
-_INF = float("inf")
-INLINE_LIMIT = 2_000_000
+Each pass is one map-side combined ``groupBy`` with at most 2^22 counters per
+group and rank, however many rows or distinct values there are; no task holds
+a group.  The result is numpy's and pandas' linear interpolation
+(``v[floor(pos)] + (v[ceil(pos)] - v[floor(pos)]) * frac``, pos = p(n-1)).
 
+The chosen buckets (at most two per group and probability) are written below
+the shared folder between passes: lineage is cut, and Spark broadcasts them by
+their size on disk or shuffles both sides.
+"""
 
-def max_group_rows(df: DataFrame, group_cols: Sequence[str] = ()) -> int:
-    """Rows in the largest group (one small aggregate job)."""
-    groups = list(group_cols)
-    if not groups:
-        return df.count()
-    r = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()
-    return int(r[0] or 0)
-
-
-def group_rows_bound(df: DataFrame, group_cols: Sequence[str] = (), inline_limit: int = INLINE_LIMIT) -> int:
-    """An upper bound of the largest group: the total row count when that is
-    already within ``inline_limit`` (one single-stage count), else the exact
-    largest group (one grouped count)."""
-    total = df.count()
-    if total <= inline_limit or not list(group_cols):
-        return total
-    return max_group_rows(df, group_cols)
-
+from __future__ import annotations
 
-def groups_fit_inline(df: DataFrame, group_cols: Sequence[str] = (), inline_limit: int = INLINE_LIMIT) -> bool:
-    """True when every group is small enough for the built-in exact percentile."""
-    return group_rows_bound(df, group_cols, inline_limit) <= inline_limit
+from collections.abc import Sequence
 
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 
-RANK_LIMIT = 2_000_000
+from proplens.functions.names import col
+from proplens.operators.joins import join_null_safe, written
 
+#: Bits of the key below the first and the second digit.
+DIGITS = (44, 22, 0)
+_MANTISSA = float(2 ** 52)
 
-def sketch_accuracy(n_max: int, accuracy: int = 10000, rank_limit: int = RANK_LIMIT) -> int:
-    """Sketch accuracy so that a bracket holds at most ~``rank_limit`` candidates.
 
-    The bracket spans about 6 n / accuracy ranks; the accuracy grows with the
-    largest group (capped at 1e6, i.e. brackets of 2 M candidates up to groups
-    of 3e11 rows).
-    """
-    need = -(-6 * max(int(n_max), 1) // rank_limit)
-    return int(min(1_000_000, max(accuracy, need)))
-
-
-def _join_stats(df: DataFrame, stats: DataFrame, groups: list[str]) -> DataFrame:
-    return join_group_stats(df, stats, groups)
-
-
-def _rank_entries(entries: DataFrame, groups: list[str]) -> DataFrame:
-    order = Window.partitionBy(*groups).orderBy("_sv", "_tb") if groups else \
-        Window.orderBy("_sv", "_tb")
-    w = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = F.sum("_cnt").over(w)
-    return entries.withColumn("_cum", cum).withColumn("_prev", F.col("_cum") - F.col("_cnt"))
-
-
-def _extract(ranked: DataFrame, targets: DataFrame, groups: list[str], probs: Sequence[float],
-             names: Sequence[str]) -> DataFrame:
-    j = _join_stats(ranked, targets, groups)
-    aggs = []
-    for i in range(len(probs)):
-        for end in ("lo", "hi"):
-            k = F.col(f"_k{end}{i}")
-            hit = (F.col("_prev") <= k) & (k < F.col("_cum"))
-            aggs.append(F.max(F.when(hit, F.col("_vv"))).alias(f"_v{end}{i}"))
-            aggs.append(F.max(F.when(hit & F.col("_vv").isNull(), F.lit(1)).otherwise(0)).alias(f"_m{end}{i}"))
-    frac_cols = [F.first(f"_f{i}").alias(f"_f{i}") for i in range(len(probs))]
-    out = j.groupBy(*groups).agg(*aggs, *frac_cols)
-    cols = []
-    miss = F.lit(0)
-    for i, name in enumerate(names):
-        lo, hi, f = F.col(f"_vlo{i}"), F.col(f"_vhi{i}"), F.col(f"_f{i}")
-        cols.append(F.when(f == 0, lo).otherwise(lo + (hi - lo) * f).alias(name))
-        miss = F.greatest(miss, F.col(f"_mlo{i}"), F.col(f"_mhi{i}"))
-    return out.select(*groups, *cols, miss.alias("_missed"))
+def order_key(value: Column) -> Column:
+    """A long that orders as the double does: 0 for both zeros, infinities outermost, NaN above all."""
+    x = F.abs(value)
+    near = F.floor(F.log2(x)).cast("double")  # may be off by one beside a power of two
+    e = F.when(F.pow(F.lit(2.0), near) > x, near - 1).when(F.pow(F.lit(2.0), near + 1) <= x, near + 1).otherwise(near)
+    e = F.greatest(e, F.lit(-1022.0))  # below the normal numbers the mantissa alone counts
+    bits = (e + 1022).cast("long") * F.lit(2 ** 52) + (x / F.pow(F.lit(2.0), e) * _MANTISSA).cast("long")
+    top = 2047 * 2 ** 52
+    size = F.when(F.isnan(value), F.lit(top + 1)).when(x == float("inf"), F.lit(top)).when(x == 0, F.lit(0)) \
+            .otherwise(bits)
+    return F.when(value < 0, -size).otherwise(size)
 
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
-                    names: Sequence[str] | None = None, group_cols: Sequence[str] = (),
-                    accuracy: int = 10000, inline_limit: int | None = INLINE_LIMIT) -> DataFrame:
+                    names: Sequence[str] | None = None, group_cols: Sequence[str] = ()) -> DataFrame:
     """Exact linear-interpolated quantiles of ``value_col`` (NULLs skipped).
 
-    Returns one row per group that has at least one non-null value, with one
-    double column per probability.  ``inline_limit=None`` forces the
-    distributed path.
+    One row per group that has at least one non-null value (a null group is a group; without groups one row
+    always), with one double column per probability.
     """
     groups = list(group_cols)
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
-    base = df.select(*[F.col(g) for g in groups], F.col(value_col).cast("double").alias("_v")) \
-             .where(F.col("_v").isNotNull())
-    n_max = group_rows_bound(base, groups, inline_limit or 0)
-    if inline_limit is not None and n_max <= inline_limit:
-        return _counted_quantiles(base, probs, names, groups)
-    return _distributed_quantiles(base, probs, names, groups, sketch_accuracy(n_max, accuracy))
-
-
-def _counted_quantiles(base: DataFrame, probs: Sequence[float], names: Sequence[str],
-                       groups: list[str]) -> DataFrame:
-    """Groups known to be small: count each distinct value (map-side combined), then one
-    running sum per group over its distinct values finds the wanted ranks."""
-    cnt = base.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    part = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
-    run = part.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    r = cnt.withColumn("_cum", F.sum("_c").over(run)) \
-           .withColumn("_n", F.sum("_c").over(part.rowsBetween(Window.unboundedPreceding,
-                                                                Window.unboundedFollowing)))
-    aggs, outs = [], []
-    for i, (p, name) in enumerate(zip(probs, names)):
-        pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
-        for end, k in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
-            hit = (F.col("_cum") - F.col("_c") <= k) & (k < F.col("_cum"))
-            aggs.append(F.max(F.when(hit, F.col("_v"))).alias(f"_{end}{i}"))
-        aggs.append(F.first(pos - F.floor(pos)).alias(f"_f{i}"))
+    g = [f"_g{i}" for i in range(len(groups))]
+    base = df.select(*[col(c).alias(a) for c, a in zip(groups, g)], col(value_col).cast("double").alias("_v")) \
+             .where(F.col("_v").isNotNull()).withColumn("_key", order_key(F.col("_v")))
+
+    def wanted(n: Column) -> Column:
+        """The ranks below and above each position, of which there are two per probability."""
+        pos = [(n - 1).cast("double") * F.lit(float(p)) for p in probs]
+        return F.explode(F.array(*[
+            F.struct(F.lit(2 * i + j).alias("_t"), end(q).cast("long").alias("_k"), (q - F.floor(q)).alias("_f"))
+            for i, q in enumerate(pos) for j, end in enumerate((F.floor, F.ceil))]))
+
+    inside, found, above = g, None, None
+    for digit in DIGITS:
+        bucket = F.shiftright("_key", digit)
+        rows = base if found is None else join_null_safe(
+            base.withColumn("_in", F.shiftright("_key", above)), found.select(*inside).distinct(), inside)
+        counts = rows.groupBy(*inside, bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_c"),
+                                                               F.min("_v").alias("_value"))
+        part = Window.partitionBy(*(inside or [F.lit(0)]))
+        counts = counts.select("*", F.sum("_c").over(part.orderBy("_b").rowsBetween(
+            Window.unboundedPreceding, Window.currentRow)).alias("_cum"), F.sum("_c").over(part).alias("_n"))
+        ranks = counts.select("*", wanted(F.col("_n")).alias("_w")).select("*", "_w.*").drop("_w") \
+            if found is None else join_null_safe(counts, found.drop("_value"), inside)
+        here = ranks.where((F.col("_cum") - F.col("_c") <= F.col("_k")) & (F.col("_k") < F.col("_cum")))
+        found = written(here.select(*g, F.col("_b").alias("_in"), "_t",
+                                    (F.col("_k") - (F.col("_cum") - F.col("_c"))).alias("_k"), "_f", "_value"),
+                        "quantile")
+        inside, above = [*g, "_in"], digit
+
+    out, cols = [], []
+    for i, name in enumerate(names):
+        out += [F.max(F.when(F.col("_t") == 2 * i + j, F.col("_value"))).alias(f"_{end}{i}")
+                for j, end in enumerate(("lo", "hi"))]
+        out.append(F.max(F.when(F.col("_t") == 2 * i, F.col("_f"))).alias(f"_f{i}"))
         lo, hi, f = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(f"_f{i}")
-        outs.append(F.when(f == 0, lo).otherwise(lo + (hi - lo) * f).alias(name))
-    out = r.groupBy(*groups).agg(*aggs).select(*groups, *outs)
-    if not groups:  # a global aggregate keeps its one row even without values
-        out = base.sparkSession.range(1).join(out, how="left").drop("id")
-    return out
-
-
-def _distributed_quantiles(base: DataFrame, probs: Sequence[float], names: Sequence[str],
-                           groups: list[str], accuracy: int) -> DataFrame:
-
-    margin = 3.0 / accuracy
-    bracket_ps = []
-    for p in probs:
-        bracket_ps += [max(0.0, p - margin), min(1.0, p + margin)]
-    stats = base.groupBy(*groups).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_v", F.array(*[F.lit(x) for x in bracket_ps]), accuracy).alias("_b"))
-    if not groups:  # one row: compute it once, reuse it as a local table
-        r = stats.first()
-        stats = base.sparkSession.createDataFrame([(r["_n"], r["_b"])], "_n long, _b array<double>")
-
-    pos_cols = []
-    for i, p in enumerate(probs):
-        pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
-        pos_cols += [F.floor(pos).alias(f"_klo{i}"), F.ceil(pos).alias(f"_khi{i}"),
-                     (pos - F.floor(pos)).alias(f"_f{i}")]
-    targets = stats.select(*groups, *pos_cols)
-
-    bounds = stats.select(*groups, *[F.element_at("_b", j + 1).alias(f"_e{j}") for j in range(len(bracket_ps))])
-    tagged = _join_stats(base, bounds, groups)
-    v = F.col("_v")
-    in_any = F.lit(False)
-    n_below = F.lit(0)
-    his = [F.lit(-_INF)]
-    for i in range(len(probs)):
-        lo, hi = F.col(f"_e{2 * i}"), F.col(f"_e{2 * i + 1}")
-        in_any = in_any | F.coalesce((v >= lo) & (v <= hi), F.lit(False))
-        n_below = n_below + F.coalesce((hi < v).cast("int"), F.lit(0))
-        his.append(hi)
-    gap_key = F.element_at(F.array(*his), n_below + 1)
-    entries = tagged.select(
-        *groups,
-        F.when(in_any, v).otherwise(gap_key).alias("_sv"),
-        F.when(in_any, 0).otherwise(1).alias("_tb"),
-        F.when(in_any, v).alias("_vv"),
-    ).groupBy(*groups, "_sv", "_tb", "_vv").agg(F.count(F.lit(1)).alias("_cnt"))
-
-    # One row per group; checkpointed so the miss check below does not
-    # recompute it.
-    first = _extract(_rank_entries(entries, groups), targets, groups, probs, names).checkpoint(eager=True)
-    ok = first.where(F.col("_missed") == 0).drop("_missed")
-    if first.where(F.col("_missed") > 0).isEmpty():
-        return ok
-
-    # Exact fallback for any group whose bracket missed its rank.
-    if groups:
-        missed = first.where(F.col("_missed") > 0).select(*groups)
-        rest = base.join(missed, groups, "left_semi")
-    else:
-        rest = base
-    full = rest.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_cnt")) \
-               .select(*groups, F.col("_v").alias("_sv"), F.lit(0).alias("_tb"),
-                       F.col("_v").alias("_vv"), "_cnt")
-    second = _extract(_rank_entries(full, groups), targets, groups, probs, names).drop("_missed")
-    return ok.unionByName(second)
-
-
-def exact_median(df: DataFrame, value_col: str, group_cols: Sequence[str] = (),
-                 name: str = "median", accuracy: int = 10000,
-                 inline_limit: int | None = INLINE_LIMIT) -> DataFrame:
-    return exact_quantiles(df, value_col, [0.5], [name], group_cols, accuracy, inline_limit)
+        cols.append(F.when(f == 0, lo).otherwise(lo + (hi - lo) * f).alias(name))
+    return found.groupBy(*g).agg(*out).select(*[F.col(a).alias(c) for c, a in zip(groups, g)], *cols)
+
+
+def exact_median(df: DataFrame, value_col: str, group_cols: Sequence[str] = (), name: str = "median") -> DataFrame:
+    return exact_quantiles(df, value_col, [0.5], [name], group_cols)

@@ -44,8 +44,13 @@ def top_abs(df: DataFrame, value: str, k: int, name_col: str) -> DataFrame:
 
 
 def select_best(df: DataFrame, name_col: str = "Model", metric: str = "RMSE", lower_is_better: bool = True,
-                tie: str | None = "R2") -> DataFrame:
-    """One row: the arg-best model (min metric; ties by higher ``tie`` then name; no metric is never best)."""
+                tie: str | None = "R2", selection_set: str | None = None) -> DataFrame:
+    """One row: the arg-best model (min metric; ties by higher ``tie`` then name; no metric is never best).
+
+    With ``selection_set`` only rows of that ``EvaluationSet`` compete.
+    """
+    if selection_set is not None:
+        df = df.where(F.col("EvaluationSet") == selection_set)
     m = F.col(metric) if lower_is_better else -F.col(metric)
     key = [m.alias("m")]
     if tie:

@@ -326,7 +326,9 @@ SELECT DISTINCT Model, lower(replace(replace(Model, ' ', '_'), '-', '_')) || '_p
   lower(replace(replace(Model, ' ', '_'), '-', '_')) || '_absolute_error' AS error_column FROM preds""")
 def model_slug(spark, sf):
     """Report column names derived from model names."""
-    m = S.predictions(spark, sf).select("Model").distinct()
+    train, test = S.train_test(spark, sf)
+    names = spark.createDataFrame([(m,) for m in S.prediction_columns(train)], "Model string")
+    m = names if not test.isEmpty() else names.limit(0)  # no row, no prediction, no model
     return m.select("Model", slug("Model", "_prediction").alias("prediction_column"),
                     slug("Model", "_absolute_error").alias("error_column"))
 
@@ -361,6 +363,17 @@ def evaluation_summary(spark, sf):
         F.lit(1).alias("FeatureCount"))
 
 
+@query("select_best_by_set", with_ctes(_VAL, "tm AS (SELECT Model, " + metrics_select() + " FROM preds GROUP BY Model)") + """
+SELECT 'validation' AS EvaluationSet, (SELECT Model FROM vm ORDER BY RMSE, R2 DESC, Model LIMIT 1) AS BestModel
+UNION ALL SELECT 'test', (SELECT Model FROM tm ORDER BY RMSE, R2 DESC, Model LIMIT 1)""")
+def select_best_by_set(spark, sf):
+    """The best model of each evaluation set, chosen among that set's rows only."""
+    both = _validation_metrics(spark, sf).withColumn("EvaluationSet", F.lit("validation")).unionByName(
+        M.regression_metrics(S.predictions(spark, sf), group_cols=["Model"]).withColumn("EvaluationSet", F.lit("test")))
+    return U.union_all([R.select_best(both, "Model", "RMSE", True, "R2", selection_set=name)
+                        .select(F.lit(name).alias("EvaluationSet"), "BestModel") for name in ("validation", "test")])
+
+
 # -- importances --------------------------------------------------------------------------
 
 @query("union_importances", with_ctes(_ENG_SQL, _IMP_RAW, _IMP) + "SELECT * FROM imp")
@@ -386,6 +399,15 @@ def importance_topn(spark, sf):
     return R.top_n_per_group(imp, ["Model"], [F.desc("Importance"), "Feature"], 5)
 
 
+@query("importance_one_model", with_ctes(_ENG_SQL, _IMP_RAW, _IMP) + """
+SELECT * FROM imp WHERE Model = (SELECT min(Model) FROM imp) ORDER BY Importance DESC, Feature LIMIT 5""")
+def importance_one_model(spark, sf):
+    """Top five features of one model: its rows first, then top-k."""
+    imp = U.union_all(_importances(spark, sf))
+    first = imp.agg(F.min("Model")).first()[0]
+    return R.top_k(imp.where(F.col("Model") == first), 5, [F.desc("Importance"), "Feature"])
+
+
 @query("semi_filter_features", with_ctes(_ENG_SQL, _IMP_RAW, _IMP) + "SELECT * FROM imp WHERE Feature IN ("
        + ", ".join(f"'{f}'" for f in ENGINEERED) + ")")
 def semi_filter_features(spark, sf):
@@ -482,8 +504,15 @@ def quality_gates(spark, sf):
     return U.union_all(out)
 
 
-@query("quality_gates_filled", with_ctes() + """
-SELECT 'train' AS dataset, CAST(0 AS BIGINT) AS violations UNION ALL SELECT 'test', CAST(0 AS BIGINT)""")
+_FILLED_COLS = ", ".join(
+    ["ClosePrice"] + [f"coalesce({c}, (SELECT coalesce(median({c}), 0.0) FROM train)) AS {c}" for c in S.NUMERIC_FILL]
+    + [f"coalesce({c}, (SELECT coalesce(mode({c}), 'Unknown') FROM train)) AS {c}" for c in S.CATEGORICAL])
+
+
+@query("quality_gates_filled", with_ctes(*[f"filled_{d} AS (SELECT {_FILLED_COLS} FROM {d})" for d in ("train", "test")])
+       + f"""
+SELECT replace(dataset, 'filled_', '') AS dataset, CAST(sum(violations) AS BIGINT) AS violations
+FROM ({_gates_sql("filled_train")} UNION ALL {_gates_sql("filled_test")}) GROUP BY 1""")
 def quality_gates_filled(spark, sf):
     """After train-only median and mode fills every rule passes (violations per dataset)."""
     train, test = S.train_test(spark, sf)
@@ -527,3 +556,13 @@ def report_files(spark, sf):
         back = files.guarded_read(spark, path, fmt="csv")
         out.append(back.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("report"), "rows"))
     return U.union_all(out)
+
+
+@query("report_contents", with_ctes(_BANDED) + f"""
+SELECT PriceBand, BandOrder, {metrics_select()}
+FROM banded WHERE Model = '{OLS}' AND PriceBand IS NOT NULL GROUP BY PriceBand, BandOrder""")
+def report_contents(spark, sf):
+    """The band metrics as a CSV report, read back in full."""
+    bands, path = M.metrics_by_band(S.predictions(spark, sf, OLS)), scratch_path(spark, "band_report")
+    files.write_report(bands, path)
+    return files.guarded_read(spark, path, fmt="csv", schema=bands.schema)

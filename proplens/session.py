@@ -7,7 +7,6 @@ is only created for ``local[...]`` masters, as in tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -67,7 +66,5 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the checkpoint folder for a written table."""
-    base = checkpoint_dir(spark).rstrip("/")
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, "proplens", f"{name}-{uuid.uuid4().hex[:12]}")
+    base = spark.conf.get("spark.checkpoint.dir", None) or checkpoint_dir(spark)
+    return f"{base.rstrip('/')}/proplens/{name}-{uuid.uuid4().hex[:12]}"

@@ -1,5 +1,6 @@
 """Operators on hand-sized frames: imputation, encoding, alignment, histogram, metrics, gates."""
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -87,27 +88,51 @@ def test_correlation_constant_is_null(spark):
     assert r[("a", "b")] is None and r[("b", "b")] == 1.0
 
 
-@pytest.mark.parametrize("probs", [[0.5], [0.1, 0.25, 0.5, 0.75, 0.9]])
-def test_distributed_quantiles_match_inline(spark, probs):
+@pytest.mark.parametrize("probs", [[0.5], [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]])
+def test_quantiles_match_numpy(spark, probs):
     import random
+
+    import numpy as np
     rnd = random.Random(7)
-    rows = [(rnd.choice("abc"), float(rnd.randint(0, 50))) for _ in range(3000)] + [("d", 1.0)]
+    rows = [(rnd.choice(["a", "b", "c", None]), float(rnd.randint(-50, 50))) for _ in range(3000)] + [("d", 1.0)]
+    rows += [("e", rnd.gauss(0, 1) * 10.0 ** rnd.randint(-300, 300)) for _ in range(501)] + [("f", None)]
     df = spark.createDataFrame(rows, "g string, v double")
-    a = quantiles.exact_quantiles(df, "v", probs, group_cols=["g"], inline_limit=None, accuracy=50)
-    b = quantiles.exact_quantiles(df, "v", probs, group_cols=["g"])
-    key = lambda r: r["g"]
-    ra, rb = sorted(a.collect(), key=key), sorted(b.collect(), key=key)
-    for x, y in zip(ra, rb):
-        for n in x.asDict():
-            if n != "g":
-                assert abs(x[n] - y[n]) < 1e-9, (x, y)
-
-
-def test_distributed_quantiles_fallback_exact(spark):
-    # accuracy=2 makes the brackets useless; the fallback must still be exact.
+    got = {r["g"]: list(r)[1:] for r in quantiles.exact_quantiles(df, "v", probs, group_cols=["g"]).collect()}
+    assert set(got) == {"a", "b", "c", None, "d", "e"}
+    for g, qs in got.items():
+        want = np.quantile([v for h, v in rows if h == g and v is not None], probs)
+        assert np.allclose(qs, want, rtol=1e-12, atol=0), g
+
+
+def test_quantiles_without_groups_or_values(spark):
     df = spark.createDataFrame([(float(i),) for i in range(101)], "v double")
-    r = quantiles.exact_quantiles(df, "v", [0.5, 0.25], ["m", "q"], inline_limit=None, accuracy=4).first()
+    r = quantiles.exact_quantiles(df, "v", [0.5, 0.25], ["m", "q"]).first()
     assert r["m"] == 50.0 and r["q"] == 25.0
+    assert [tuple(r) for r in quantiles.exact_quantiles(df.limit(0), "v", [0.5], ["m"]).collect()] == [(None,)]
+
+
+def test_correlation_blocks_skip_missing_pairwise(spark):
+    import numpy as np
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(200, 14)) @ rng.normal(size=(14, 14))
+    x[rng.random(x.shape) < 0.1] = np.nan
+    cols = [f"c.{i}" for i in range(14)]
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in r) for r in x],
+                               ", ".join(f"`{c}` double" for c in cols))
+    want = pd.DataFrame(x).corr().to_numpy()
+    got = {(r["column_a"], r["column_b"]): r["correlation"] for r in profile.correlation_matrix(df, cols).collect()}
+    assert len(got) == 196
+    for i, a in enumerate(cols):
+        for j, b in enumerate(cols):
+            assert abs(got[a, b] - want[i, j]) < 1e-5
+
+
+def test_column_profile_counts(spark):
+    df = spark.createDataFrame([(1, None), (1, "x"), (2, "y"), (None, "y")], "a int, `b.c` string")
+    want = [("a", 1, "int", 1, 2), ("b.c", 2, "string", 1, 2)]
+    for frame, rows in ((df, want), (df.limit(0), [(n, i, t, 0, 0) for n, i, t, _, _ in want])):
+        for approx in (False, True):
+            assert [tuple(r) for r in profile.column_profile(frame, approx=approx).orderBy("ordinal").collect()] == rows
 
 
 def test_split_chronological_matches_row_number(spark):
@@ -203,7 +228,6 @@ def test_null_predictions_count_nowhere(spark):
     r = metrics.regression_metrics(df).first()
     assert (r["ObservationCount"], r["MAE"], r["R2"]) == (2, 0.5, round(1 - 1 / 4.5, 6))
     assert metrics.unscored_rows(df) == 3
-    assert metrics.regression_metrics(df, inline_limit=None).first() == r
 
 
 def test_missing_metric_never_wins(spark):

@@ -38,7 +38,8 @@ def test_all_queries_smoke(spark):
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
     skip = {"tree_predictions", "forest_predictions", "gbt_predictions", "boosting_curve", "refit_and_score",
-            "feature_importance", "model_comparison", "feature_set_ab", "metadata_record"}
+            "feature_importance", "model_comparison", "feature_set_ab", "metadata_record", "final_evaluation",
+            "linear_coefficients"}
     for name, fn in qs.items():
         if name in skip:
             continue
@@ -56,6 +57,52 @@ def test_model_queries_run(spark):
     assert all(abs(v - 1.0) < 1e-6 for v in sums.values())
 
 
+def test_final_evaluation(spark):
+    """Winner by validation RMSE, every metric from numpy's, and one test row of the winner."""
+    from proplens.plans import q_models as Q
+    seconds = {}
+    rows = Q.final_evaluation_rows(*Q._fit_validation(spark, SF_SMALL), rounds=3, seconds=seconds).collect()
+    val = {r["Model"]: r for r in rows if r["EvaluationSet"] == "validation"}
+    test, = [r for r in rows if r["EvaluationSet"] == "test"]
+    assert set(val) == set(Q.CANDIDATES) and set(seconds) == {*Q.CANDIDATES, "refit"}
+    winner = min(val.values(), key=lambda r: r["RMSE"])["Model"]
+    assert [r["Model"] for r in rows if r["Selected"]] == [winner, winner] and test["Model"] == winner
+    assert {n: r["BestRound"] for n, r in val.items()} == {
+        n: (r["BestRound"] if n in Q.EARLY_STOPPED else None) for n, r in val.items()}
+    assert all(1 <= val[n]["BestRound"] <= 3 for n in Q.EARLY_STOPPED)
+    assert test["ObservationCount"] == 336
+
+
+def test_linear_coefficients_fit_as_numpy_does(spark):
+    """The fitted line reaches least squares' error; the query lists the 15 largest coefficients in order."""
+    import __spark_entry__ as E
+    import numpy as np
+    from proplens.plans import q_models as Q, stages as S
+    train, _ = Q._frames(spark, SF_SMALL)
+    model = Q._fit(train, Q.ENG_FEATURES, "Linear Regression")
+    got = model.transform(train).select("features", "label", "prediction").collect()
+    x = np.c_[np.array([r["features"].toArray() for r in got]), np.ones(len(got))]
+    y, p = np.array([[r["label"], r["prediction"]] for r in got]).T
+    best = x @ np.linalg.lstsq(x, y, rcond=None)[0]
+    assert abs(np.std(y - p) / np.std(y - best) - 1) < 1e-3
+    top = E.queries()["linear_coefficients"](spark, SF_SMALL).collect()
+    sizes = [abs(r["Coefficient"]) for r in top]
+    assert len(top) == 15 and sizes == sorted(sizes, reverse=True)
+    names = Q.K.feature_names(model, Q.ENG_FEATURES, S.CATEGORICAL)
+    assert {r["Feature"] for r in top} <= set(names)
+
+
+def test_model_results_follow_from_their_parts(spark):
+    """Curve: one row a round, the best is its minimum.  Comparison: ranks by RMSE.  Forest: one prediction per test row."""
+    import __spark_entry__ as E
+    qs = E.queries()
+    curve = qs["boosting_curve"](spark, SF_SMALL).orderBy("Round").collect()
+    assert [r["Round"] for r in curve] == list(range(1, len(curve) + 1))
+    assert [r["Round"] for r in curve if r["IsBest"]] == [min(curve, key=lambda r: (r["ValidationRMSE"], r["Round"]))["Round"]]
+    forest = qs["forest_predictions"](spark, SF_SMALL)
+    assert forest.agg(F.count("PredictedClosePrice"), F.count_distinct("l_orderkey", "l_linenumber")).first()[0] == 336
+
+
 def test_tree_deterministic(spark):
     import __spark_entry__ as E
     q = E.queries()["tree_predictions"]
