@@ -74,7 +74,7 @@ def histogram(df: DataFrame, column: str, bins: int = 50, group_cols: Sequence[s
 
 
 #: Columns on each side of a block of pairs; one aggregate computes up to the square of it.
-BLOCK = 6
+BLOCK = 4
 
 
 def _pair_stats(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:

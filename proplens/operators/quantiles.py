@@ -70,7 +70,7 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
     for digit in DIGITS:
         bucket = F.shiftright("_key", digit)
         rows = base if found is None else join_null_safe(
-            base.withColumn("_in", F.shiftright("_key", above)), found.select(*inside).distinct(), inside)
+            base.withColumn("_in", F.shiftright("_key", above)), found.select(*inside), inside, "left_semi")
         counts = rows.groupBy(*inside, bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_c"),
                                                                F.min("_v").alias("_value"))
         part = Window.partitionBy(*(inside or [F.lit(0)]))
