@@ -54,22 +54,31 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int, extr
     return rows.mapInArrow(run, schema)
 
 
+@cache
+def syndromes() -> np.ndarray:
+    """Syndromes of all 23-bit words: doubled bit by bit, as that of a sum is the sum of theirs (16 MB)."""
+    check = BLOCK - MESSAGE
+    table, power = np.arange(1 << check, dtype=np.int16), GENERATOR ^ 1 << check
+    for _ in range(MESSAGE):
+        table = np.concatenate([table, table ^ np.int16(power)])
+        power <<= 1
+        power ^= GENERATOR if power >> check else 0
+    return table
+
+
 @cache
 def code_tables(excess: int) -> tuple[np.ndarray, list[list[tuple[int, int]]]]:
     """Syndromes of all 23-bit words; by syndrome, the (error pattern, excess) that lead to codewords within reach.
 
     A pattern's excess is its weight above the covering radius; patterns up to the radius are unique by syndrome.
     """
-    word = np.arange(1 << BLOCK, dtype=np.int32)
-    syndrome = word.copy()
-    for bit in range(BLOCK - 1, BLOCK - MESSAGE - 1, -1):
-        syndrome ^= np.where(syndrome >> bit & 1, GENERATOR << (bit - (BLOCK - MESSAGE)), 0).astype(np.int32)
+    syndrome = syndromes()
     ways: list[list[tuple[int, int]]] = [[] for _ in range(1 << (BLOCK - MESSAGE))]
     for weight in range(RADIUS + excess + 1):
         for bits in combinations(range(BLOCK), weight):
             pattern = sum(1 << b for b in bits)
             ways[syndrome[pattern]].append((pattern, max(0, weight - RADIUS)))
-    return syndrome.astype(np.int16), ways
+    return syndrome, ways
 
 
 def anchor(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -134,8 +143,8 @@ def links_within(prints: DataFrame, distance: int) -> DataFrame:
         live = lived_in.value
         for b in batches:
             fp = b["fp"].to_numpy()
-            for i in range(0, len(fp), 4096):
-                part = fp[i:i + 4096]
+            for i in range(0, len(fp), 1024):  # some 500,000 ways at once
+                part = fp[i:i + 1024]
                 src, at = visits(part, distance)
                 ok = live[at >> 6] >> (at & 63) & 1 == 1
                 yield pa.RecordBatch.from_arrays([pa.array(part[src[ok]]), pa.array(at[ok])], ["b", "anchor"])
