@@ -182,6 +182,14 @@ def test_quality_gates_raise(spark):
     assert quality.schema_violations(df, df.select("x", "y")) == ["train and test columns differ"]
 
 
+def test_assert_valid_names_every_failing_rule(spark):
+    rules = spark.createDataFrame([("finite_values", "train", f"c{i:03d}", 1) for i in range(120)],
+                                  "rule string, dataset string, column string, violations long")
+    with pytest.raises(quality.DataQualityError) as e:
+        quality.assert_valid(rules)
+    assert all(f"train.c{i:03d}: finite_values (1)" in str(e.value) for i in range(120))
+
+
 def test_select_best_and_best_vs_second(spark):
     lb = spark.createDataFrame([("a", 10.0, 5.0, 0.5), ("b", 8.0, 6.0, 0.6), ("c", 8.0, 4.0, 0.7)],
                                "Model string, RMSE double, MAE double, R2 double")
