@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from proplens.llm import (decontaminate, exact_dedup, language_id, license_scan, mixing, sharding, simhash,
-                          substring_dedup, token_output, url_filter)
+from proplens.llm import (decontaminate, exact_dedup, hard_negatives, language_id, license_scan, mixing, prefix_trie,
+                          sharding, simhash, substring_dedup, token_counts, token_output, url_filter)
 from proplens.llm.common import PLAIN_WORD, SPACED_WORD, UPPER, documents
 
 SHARDS = 40
@@ -70,10 +70,30 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER), limit=512)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    whole = hard_negatives.whole_vectors(rows, scale=256, label=label)
+    return hard_negatives.hard_negatives(whole, F.col("vec_id") % 100 == 0, positives=5, negatives=10, band=(30, 90))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ring_shards, op2_exact_dedup, op3_simhash, op4_decontaminate, op5_token_output, op6_substring_dedup,
-    op7_url_filter, op8_license_scan, op9_language_id, op10_mixing)}
+    op7_url_filter, op8_license_scan, op9_language_id, op10_mixing, op11_prefix_trie, op12_token_counts,
+    op13_hard_negatives)}
 
+#: CRC-32 of a string's characters, bit by bit.
+_CRC = """xor(list_reduce(list_transform(string_split({0}, ''), lambda c: CAST(ascii(c) AS BIGINT)), lambda a, x:
+  list_reduce(range(8), lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, xor(a, x)),
+  CAST(4294967295 AS BIGINT)), 4294967295)"""
 _LOWER = f"translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}')"
 
 ORACLE = {
@@ -145,4 +165,38 @@ e AS (SELECT doc_id, point, size, d.source, source_size, target, whole, target -
 x AS (SELECT *, max(CASE WHEN upto - here <= budget THEN point END) OVER (PARTITION BY source) AS edge FROM e)
 SELECT doc_id, size, source_size, target, CAST(size * (whole + CASE WHEN budget > 0 AND (point < edge
   OR point = edge AND here - (budget - (upto - here)) < budget - (upto - here)) THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM x""",
+    "op11_prefix_trie": f"""
+WITH t AS (SELECT conv_id, turn, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k,
+    strlen(coalesce(text, '')) AS b FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list({{'k': k, 'b': b}} ORDER BY turn NULLS FIRST, k) AS own,
+    {_CRC.format("CAST(conv_id AS VARCHAR)")} % 9 AS h FROM t GROUP BY conv_id),
+r AS (SELECT o.conv_id, list_concat(coalesce(p.own[1:o.h], []), o.own[o.h + 1:]) AS s
+  FROM o LEFT JOIN o p ON p.conv_id = o.conv_id - o.conv_id % 5),
+m AS (SELECT conv_id, s, d, list_transform(s[1:d], lambda x: x.k) AS path
+  FROM (SELECT conv_id, s, unnest(range(len(s) + 1)) AS d FROM r)),
+n AS (SELECT path, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    any_value(CASE WHEN d > 0 THEN s[d].b ELSE 0 END) * (count(*) - 1) AS saved,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE d = len(s)), '')) AS ends_sha256
+  FROM m GROUP BY path),
+k AS (SELECT path[1:depth - 1] AS path, count(*) AS kids FROM n WHERE depth > 0 GROUP BY 1),
+u AS (SELECT n.*, coalesce(kids, 0) AS n_children FROM n LEFT JOIN k USING (path)),
+b AS (SELECT path[1:d] AS path, sum(saved) AS saved, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS leaves
+  FROM (SELECT *, unnest(range(depth + 1)) AS d FROM u) GROUP BY 1)
+SELECT u.conv_id, u.depth, up.conv_id AS parent_conv_id, u.n_convs, u.n_children, CAST(b.leaves AS BIGINT) AS n_leaves,
+  CAST(b.saved AS BIGINT) AS saved_tokens, u.ends_sha256
+FROM u JOIN b USING (path) LEFT JOIN u up ON u.depth > 0 AND up.path = u.path[1:u.depth - 1]""",
+    "op13_hard_negatives": """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT * FROM (SELECT anchor_id, positive_id,
+    CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+    vec_id AS negative_id, positive_score, score AS negative_score
+  FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+WHERE rank <= 10""",
 }
