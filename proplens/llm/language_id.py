@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 PIECE = 24
 UNKNOWN = "und"
-#: Sequences whose labels a worker remembers, and bytes of text that it labels at once.
-REMEMBERED = 400_000
+#: Bytes of words with their labels that a task remembers, and of text that it labels at once.
+REMEMBERED_BYTES = 32 << 20
 BLOCK_BYTES = 4 << 20
 
 
@@ -140,12 +140,15 @@ class Labeller:
         self.model, self.classes = model, classes
         self.known: dict[str, int] = {}
         self.sums = np.zeros((0, classes), np.float32)
+        self.room = REMEMBERED_BYTES
 
     def words(self, words: list[str]) -> np.ndarray:
         """Row by word: the sum over its positions of their log probabilities."""
         new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
+        self.room -= sum(map(len, new)) + (200 + 4 * self.classes) * len(new)  # entry, string, sums
+        if self.room < 0:
             self.known, self.sums, new = {}, self.sums[:0], words
+            self.room = REMEMBERED_BYTES - sum(map(len, new)) - (200 + 4 * self.classes) * len(new)
         if new:
             cut = [pieces(w) for w in new]
             flat = [p for ps in cut for p in ps]
@@ -244,6 +247,8 @@ def identify(docs: DataFrame, model: BiGRU | None, classes: list[str], id_col: s
                 pred = [names[i] if k else UNKNOWN for i, k in zip(best, known)]
                 yield pa.RecordBatch.from_arrays([*b.select(kept).columns, pa.array(pred, pa.string()),
                                                   pa.array(np.where(known, score, 0.0))], [*kept, "lang_pred", "score"])
+        labeller = None  # what it remembers ends with the task: Spark uses this process for others
+        pa.default_memory_pool().release_unused()
 
     schema = rows.select(kept).schema.add("lang_pred", "string").add("score", "double")
     return rows.mapInArrow(run, schema)

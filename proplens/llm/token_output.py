@@ -26,9 +26,9 @@ from proplens.llm.common import scratch_uri
 
 #: A null identifier in an .ids file.
 NO_ID = -(1 << 63)
-#: Words whose ids a worker remembers, and bytes of text that it encodes at once.
-REMEMBERED = 800_000
-BLOCK_BYTES = 8 << 20
+#: Bytes of pieces with their ids that a task remembers, and of text that it encodes at once.
+REMEMBERED_BYTES = 32 << 20
+BLOCK_BYTES = 4 << 20
 #: One space or line feed between two characters that are not white space: the pre-tokenizer always splits before it.
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 #: Pieces that the fast cut may leave: a lone line feed, or characters without white space after at most one space.
@@ -54,7 +54,8 @@ class PieceEncoder:
     a text gives the same ids whole or cut before such a space; a lone line feed is a token by itself, and one ends
     between a letter and a punctuation mark.  A piece of letters is one pre-token, for which the library's model is
     asked directly; any other is encoded as a text.  Texts with other white space than lone spaces and line feeds are
-    cut by pattern instead.
+    cut by pattern instead, and one with the string of an added token is encoded whole: the library, at its default,
+    gives that string the added token's id.
     """
 
     def __init__(self, path: str):
@@ -62,9 +63,10 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.known: dict[str, list[int]] = {}
+        self.room = REMEMBERED_BYTES
 
     def _piece(self, piece: str) -> list[int]:
         bare = piece[1:] if piece[0] == " " else piece
@@ -76,11 +78,17 @@ class PieceEncoder:
             else:
                 letters = piece if bare is piece else _LETTERS[0x20] + bare
             ids = [t.id for t in self.tokenizer.model.tokenize(letters)]
+        self.room -= 250 + 4 * len(piece) + 8 * len(ids)  # the entry's objects, a string and a list of shared numbers
+        if self.room < 0:
+            self.known.clear()
+            self.room = REMEMBERED_BYTES
         self.known[piece] = ids
         return ids
 
     def whole(self, text: str) -> list[int]:
         """Ids of any text."""
+        if any(a in text for a in self.added):
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
         out: list[int] = []
         for p in _CUT.split(text) if text else []:
             for part in ("\n", p[1:]) if p[0] == "\n" and p[1:2].strip() else (p,):
@@ -95,14 +103,13 @@ class PieceEncoder:
         names, code = pieces.dictionary.to_pylist(), pieces.indices.to_numpy()
         first = split.offsets.to_numpy().astype(np.int64)
         first = first - first[0]
-        if len(self.known) + len(names) > REMEMBERED:
-            self.known.clear()
         known, fits = self.known.get, _WHOLE.fullmatch
         ids = [known(n) or (self._piece(n) if fits(n) else None) for n in names]
         odd = np.fromiter((x is None for x in ids), bool, len(ids))
         bad = np.r_[0, np.cumsum(odd[code])]
-        slow = np.flatnonzero((bad[first[1:]] > bad[first[:-1]])
-                              | pc.match_substring(texts, _MARK).to_numpy(zero_copy_only=False))
+        whole = np.logical_or.reduce([pc.match_substring(texts, a).to_numpy(zero_copy_only=False)
+                                      for a in (_MARK, *self.added)])
+        slow = np.flatnonzero((bad[first[1:]] > bad[first[:-1]]) | whole)
         size = np.fromiter((len(x) if x else 0 for x in ids), np.int32, len(ids))
         flat = np.fromiter(chain.from_iterable(x for x in ids if x), self.kind, int(size.sum()))
         begin = (np.cumsum(size, dtype=np.int64) - size)
@@ -118,18 +125,9 @@ class PieceEncoder:
         return tokens, counts
 
 
-_encoders: dict[str, PieceEncoder] = {}
-
-
-def encoder(path: str) -> PieceEncoder:
-    """One per worker process, which Spark uses for many tasks."""
-    if path not in _encoders:
-        _encoders[path] = PieceEncoder(path)
-    return _encoders[path]
-
-
 def _store(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    """File system and path of the shared folder: any that pyarrow reaches by URI."""
+    """File system and path of the shared folder: any that pyarrow reaches by URI; s3a: and s3n: are its s3:."""
+    uri = re.sub(r"^s3[an]:", "s3:", uri)
     return pyarrow.fs.FileSystem.from_uri(uri if ":" in uri else f"file://{os.path.abspath(uri)}")
 
 
@@ -153,7 +151,7 @@ def write_tokens(docs: DataFrame, uri: str, tokenizer_path: str, end_id: int = 0
 
     def run(batches):
         fs, path = _store(uri)
-        enc, attempt = encoder(tokenizer_path), TaskContext.get().taskAttemptId()
+        enc, attempt = PieceEncoder(tokenizer_path), TaskContext.get().taskAttemptId()
         name = f"{path}/part-{TaskContext.get().partitionId():06d}"
         ids, sizes = [], []
         with fs.open_output_stream(f"{name}.bin.{attempt}.tmp") as out:
@@ -167,13 +165,17 @@ def write_tokens(docs: DataFrame, uri: str, tokenizer_path: str, end_id: int = 0
                     out.write(np.insert(tokens, np.cumsum(counts), end_id).tobytes())
                     sizes += (counts + 1).tolist()
                     begin, size = stop, int(lengths[stop - 1])
+        kind = enc.kind
+        del enc  # what it remembers ends with the task: Spark uses this process for others
+        pa.default_memory_pool().release_unused()
         if not ids:
+            fs.delete_file(f"{name}.bin.{attempt}.tmp")
             return
         fs.move(f"{name}.bin.{attempt}.tmp", f"{name}.bin")
         _publish(fs, f"{name}.idx", attempt, np.cumsum([0, *sizes], dtype="<u8").tobytes())
         _publish(fs, f"{name}.ids", attempt, np.array(ids, "<i8").tobytes())
         yield pa.RecordBatch.from_pylist([{"part": name.rsplit("/", 1)[1], "docs": len(ids), "tokens": int(sum(sizes)),
-                                           "dtype": enc.kind.str}])
+                                           "dtype": kind.str}])
 
     fs, path = _store(uri)
     fs.create_dir(path)

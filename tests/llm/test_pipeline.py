@@ -39,4 +39,4 @@ def test_stages(spark, sf_docs):
 def test_registered(spark):
     import __spark_entry__ as E
     names = E.queries()
-    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}

@@ -19,9 +19,7 @@ UP = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 @pytest.mark.parametrize("source", ["edge_docs", "sf_docs"])
@@ -54,7 +52,9 @@ def test_pieces_encode_like_whole_texts(tokenizer):
     import pyarrow as pa
     rng = random.Random(3)
     texts = ["".join(rng.choice(" \n\t\ra1.!'éB²\xa0\x1c\x85") for _ in range(rng.randrange(40))) for _ in range(3000)]
-    ids, n = token_output.encoder(PATH).texts(pa.array(texts))
+    texts += ["<|endoftext|> a", "a <|endoftext|>b\t <|endoftext|>", "<|endoftext", "x\0<|endoftext|>"]
+    assert tokenizer.encode(texts[3000], add_special_tokens=False).ids == [50256, 257]
+    ids, n = token_output.PieceEncoder(PATH).texts(pa.array(texts))
     parts = np.split(ids, np.cumsum(n)[:-1])
     for t, p, e in zip(texts, parts, tokenizer.encode_batch(texts, add_special_tokens=False)):
         assert p.tolist() == e.ids, repr(t)
