@@ -27,8 +27,8 @@ from proplens.llm.common import scratch_uri
 #: A null identifier in an .ids file.
 NO_ID = -(1 << 63)
 #: Bytes of pieces with their ids that a task remembers, and of text that it encodes at once.
-REMEMBERED_BYTES = 32 << 20
-BLOCK_BYTES = 4 << 20
+REMEMBERED_BYTES = 24 << 20
+BLOCK_BYTES = 6 << 20
 #: One space or line feed between two characters that are not white space: the pre-tokenizer always splits before it.
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 #: Pieces that the fast cut may leave: a lone line feed, or characters without white space after at most one space.
@@ -78,12 +78,14 @@ class PieceEncoder:
             else:
                 letters = piece if bare is piece else _LETTERS[0x20] + bare
             ids = [t.id for t in self.tokenizer.model.tokenize(letters)]
+        return ids
+
+    def _remember(self, piece: str, ids: list[int]) -> None:
         self.room -= 250 + 4 * len(piece) + 8 * len(ids)  # the entry's objects, a string and a list of shared numbers
         if self.room < 0:
             self.known.clear()
             self.room = REMEMBERED_BYTES
         self.known[piece] = ids
-        return ids
 
     def whole(self, text: str) -> list[int]:
         """Ids of any text."""
@@ -106,6 +108,9 @@ class PieceEncoder:
         known, fits = self.known.get, _WHOLE.fullmatch
         ids = [known(n) or (self._piece(n) if fits(n) else None) for n in names]
         odd = np.fromiter((x is None for x in ids), bool, len(ids))
+        for i in np.flatnonzero(np.bincount(code, minlength=len(names)) > 1):  # what comes once here seldom comes again
+            if ids[i] and names[i] not in self.known:
+                self._remember(names[i], ids[i])
         bad = np.r_[0, np.cumsum(odd[code])]
         whole = np.logical_or.reduce([pc.match_substring(texts, a).to_numpy(zero_copy_only=False)
                                       for a in (_MARK, *self.added)])
