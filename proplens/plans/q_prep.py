@@ -65,6 +65,27 @@ def scan_drifting_months(spark, sf):
         F.count("City").alias("city_rows"))
 
 
+@query("scan_reordered_months", with_ctes("""told AS (SELECT *, City || ', "' || CountyOrParish || '"' || chr(10)
+  || 'line two' AS Told, CAST(strftime(CloseDate, '%m') AS INTEGER) % 3 AS side FROM seg)""") + """
+SELECT strftime(CloseDate, '%Y%m') AS CloseMonth, count(*) AS rows, round(avg(ClosePrice), 4) AS avg_close_price,
+  count(DISTINCT Told) AS cities, min(Told) AS first_city, max(Told) AS last_city,
+  count(CASE WHEN side < 2 THEN LivingArea END) AS living_area_rows, round(sum(YearBuilt), 2) AS years
+FROM told GROUP BY 1""")
+def scan_reordered_months(spark, sf):
+    """Months in three column orders, one without LivingArea, with commas, quotes and line breaks in City."""
+    root = scratch_path(spark, "reordered_feed")
+    city = F.concat("City", F.lit(', "'), "CountyOrParish", F.lit('"\nline two'))
+    seg = S.segment(spark, sf).select(*S.CORE_COLUMNS).withColumn("City", city)
+    orders = [S.CORE_COLUMNS, S.CORE_COLUMNS[::-1], sorted(c for c in S.CORE_COLUMNS if c != "LivingArea")]
+    for i, order in enumerate(orders):
+        files.write_csv(seg.filter(F.month("CloseDate") % 3 == i).select(*order), f"{root}/order{i}")
+    feed = files.scan_feed(spark, root).rows
+    return feed.groupBy(F.date_format("CloseDate", "yyyyMM").alias("CloseMonth")).agg(
+        F.count(F.lit(1)).alias("rows"), F.round(F.avg("ClosePrice"), 4).alias("avg_close_price"),
+        F.count_distinct("City").alias("cities"), F.min("City").alias("first_city"), F.max("City").alias("last_city"),
+        F.count("LivingArea").alias("living_area_rows"), F.round(F.sum("YearBuilt"), 2).alias("years"))
+
+
 @query("sink_roundtrip", with_ctes("""sides AS (SELECT 'train' AS split, * FROM train
   UNION ALL SELECT 'test', * FROM test)""") + """
 SELECT split, count(*) AS rows, round(avg(ClosePrice), 4) AS avg_close_price,
