@@ -8,10 +8,12 @@ counts' prefix sums are the partitions' bases: a document's place in the corpus
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
 import zlib
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -27,8 +29,8 @@ from proplens.llm.common import scratch_uri
 #: A null identifier in an .ids file.
 NO_ID = -(1 << 63)
 #: Bytes of pieces with their ids that a task remembers, and of text that it encodes at once.
-REMEMBERED_BYTES = 24 << 20
-BLOCK_BYTES = 6 << 20
+REMEMBERED_BYTES = 32 << 20
+BLOCK_BYTES = 8 << 20
 #: One space or line feed between two characters that are not white space: the pre-tokenizer always splits before it.
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 #: Pieces that the fast cut may leave: a lone line feed, or characters without white space after at most one space.
@@ -45,6 +47,17 @@ def _byte_letters() -> dict[int, str]:
 
 
 _LETTERS = _byte_letters()
+#: The spelling of characters up to U+024F in that alphabet, for whole words at once; a word of others is spelt by bytes.
+_SPELLING = {i: "".join(_LETTERS[b] for b in chr(i).encode()) for i in range(0x250)}
+
+
+@lru_cache(1)
+def tokenizer(path: str):
+    """Loaded once a process, some 40 MB: reading the file for every task would take a tenth of its time."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
 
 
 class PieceEncoder:
@@ -59,24 +72,26 @@ class PieceEncoder:
     """
 
     def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = tokenizer(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.known: dict[str, list[int]] = {}
         self.room = REMEMBERED_BYTES
 
-    def _piece(self, piece: str) -> list[int]:
+    def _piece(self, piece: str, checked: bool = False) -> list[int] | None:
+        """Ids of a piece, or None if the fast cut may not leave it so and it isn't ``checked``."""
         bare = piece[1:] if piece[0] == " " else piece
         if not bare.isalpha():
+            if not checked and not _WHOLE.fullmatch(piece):
+                return None
             ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
         else:
-            if not piece.isascii():
-                letters = "".join(map(_LETTERS.__getitem__, piece.encode()))
-            else:
+            if piece.isascii():
                 letters = piece if bare is piece else _LETTERS[0x20] + bare
+            elif max(piece) < "\u0250":
+                letters = piece.translate(_SPELLING)
+            else:
+                letters = "".join(map(_LETTERS.__getitem__, piece.encode()))
             ids = [t.id for t in self.tokenizer.model.tokenize(letters)]
         return ids
 
@@ -94,7 +109,7 @@ class PieceEncoder:
         out: list[int] = []
         for p in _CUT.split(text) if text else []:
             for part in ("\n", p[1:]) if p[0] == "\n" and p[1:2].strip() else (p,):
-                out += self.known.get(part) or self._piece(part)
+                out += self.known.get(part) or self._piece(part, True)
         return out
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -105,8 +120,8 @@ class PieceEncoder:
         names, code = pieces.dictionary.to_pylist(), pieces.indices.to_numpy()
         first = split.offsets.to_numpy().astype(np.int64)
         first = first - first[0]
-        known, fits = self.known.get, _WHOLE.fullmatch
-        ids = [known(n) or (self._piece(n) if fits(n) else None) for n in names]
+        known, piece = self.known.get, self._piece
+        ids = [known(n) or (piece(n) if n else None) for n in names]
         odd = np.fromiter((x is None for x in ids), bool, len(ids))
         for i in np.flatnonzero(np.bincount(code, minlength=len(names)) > 1):  # what comes once here seldom comes again
             if ids[i] and names[i] not in self.known:
@@ -159,6 +174,7 @@ def write_tokens(docs: DataFrame, uri: str, tokenizer_path: str, end_id: int = 0
         enc, attempt = PieceEncoder(tokenizer_path), TaskContext.get().taskAttemptId()
         name = f"{path}/part-{TaskContext.get().partitionId():06d}"
         ids, sizes = [], []
+        gc.disable()  # a task makes hundreds of thousands of lists and no cycles
         with fs.open_output_stream(f"{name}.bin.{attempt}.tmp") as out:
             for b in batches:
                 ids += b["doc_id"].fill_null(NO_ID).to_pylist()
@@ -171,6 +187,7 @@ def write_tokens(docs: DataFrame, uri: str, tokenizer_path: str, end_id: int = 0
                     sizes += (counts + 1).tolist()
                     begin, size = stop, int(lengths[stop - 1])
         kind = enc.kind
+        gc.enable()
         del enc  # what it remembers ends with the task: Spark uses this process for others
         pa.default_memory_pool().release_unused()
         if not ids:
