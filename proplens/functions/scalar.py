@@ -28,6 +28,12 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def known(x) -> Column:
+    """A number as a double; NaN, which counts as missing everywhere, becomes NULL.  Infinities pass through."""
+    c = _c(x).cast("double")
+    return F.when(~F.isnan(c), c)
+
+
 def finite_or_null(x) -> Column:
     """NaN, +Inf and -Inf become NULL; other values pass through."""
     c = _c(x)

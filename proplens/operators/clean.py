@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from proplens.functions.names import col
@@ -65,7 +65,8 @@ def select_kind(df: DataFrame, kinds: Iterable[str] = ("number",), exclude: bool
 
 # -- missingness ---------------------------------------------------------------
 
-def _is_missing(df: DataFrame, c: str):
+def is_missing(df: DataFrame, c: str) -> Column:
+    """Whether a column has no value: NULL, or NaN where it is a float or double."""
     dt = df.schema[c].dataType
     value = col(c)
     if isinstance(dt, (T.DoubleType, T.FloatType)):
@@ -77,7 +78,7 @@ def missing_summary(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     """(column_name, ordinal, missing_count, missing_pct) from ONE aggregate scan."""
     cols = list(columns or df.columns)
     agg = df.agg(F.count(F.lit(1)).alias("_rows"),
-                 *[F.sum(_is_missing(df, c).cast("long")).alias(f"_m{i}") for i, c in enumerate(cols)])
+                 *[F.sum(is_missing(df, c).cast("long")).alias(f"_m{i}") for i, c in enumerate(cols)])
     stacked = agg.select("_rows", F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.lit(i + 1).alias("ordinal"),
                  F.col(f"_m{i}").alias("missing_count")) for i, c in enumerate(cols)])).alias("_s"))
@@ -189,10 +190,10 @@ def fit_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def apply_fill(df: DataFrame, stats: DataFrame | Mapping[str, object]) -> DataFrame:
-    """Fill NULLs with fitted constants (a one-row table or a dict), inlined as literals."""
+    """Fill NULLs, and NaN in floats and doubles, with fitted constants (a one-row table or a dict), inlined as literals."""
     values = stats.first().asDict() if isinstance(stats, DataFrame) else dict(stats)
-    return df.select(*[F.coalesce(col(c), F.lit(values[c])).alias(c) if c in values else col(c)
-                       for c in df.columns])
+    have = {c: F.when(~is_missing(df, c), col(c)) for c in df.columns if c in values}
+    return df.select(*[F.coalesce(have[c], F.lit(values[c])).alias(c) if c in values else col(c) for c in df.columns])
 
 
 def fill_constant(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
@@ -207,7 +208,8 @@ def fit_modes(df: DataFrame, columns: Sequence[str], default: str = "Unknown") -
     """
     cols = list(columns)
     long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("_name"), col(c).cast("string").alias("_value")) for c in cols])).alias("_s")
+        F.struct(F.lit(c).alias("_name"), F.when(~is_missing(df, c), col(c)).cast("string").alias("_value"))
+        for c in cols])).alias("_s")
     ).select("_s._name", "_s._value").where(F.col("_value").isNotNull())
     counts = long.groupBy("_name", "_value").agg(F.count(F.lit(1)).alias("_n"))
     best = counts.groupBy("_name").agg(

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from proplens.functions.scalar import PRICE_BANDS, band_label, band_order, finite_or_null, safe_divide
+from proplens.functions.scalar import PRICE_BANDS, band_label, band_order, finite_or_null, safe_divide, known
 from proplens.operators.joins import join_null_safe
 from proplens.operators.quantiles import exact_median
 
@@ -47,8 +47,9 @@ def band_dimension(spark: SparkSession, bands=PRICE_BANDS, label_col: str = "Pri
 
 def _metric_aggs(actual: str, predicted: str):
     # Every sum and count is over the rows that have both values.
-    both = F.col(actual).isNotNull() & F.col(predicted).isNotNull()
-    a, p = F.when(both, F.col(actual)), F.when(both, F.col(predicted))
+    a, p = known(actual), known(predicted)
+    both = a.isNotNull() & p.isNotNull()
+    a, p = F.when(both, a), F.when(both, p)
     e = a - p
     ape = F.when(a != 0, F.abs(e / a))
     return [
@@ -64,7 +65,7 @@ def _metric_aggs(actual: str, predicted: str):
 
 def unscored_rows(df: DataFrame, actual: str = "ActualClosePrice", predicted: str = "PredictedClosePrice") -> int:
     """Rows that the metrics leave out because the actual or the predicted value is missing."""
-    return df.where(F.col(actual).isNull() | F.col(predicted).isNull()).count()
+    return df.where(known(actual).isNull() | known(predicted).isNull()).count()
 
 
 def regression_metrics(df: DataFrame, actual: str = "ActualClosePrice",
@@ -76,7 +77,7 @@ def regression_metrics(df: DataFrame, actual: str = "ActualClosePrice",
     constant actual gives 1 for an exact fit and 0 otherwise.
     """
     groups = list(group_cols)
-    a, p = F.col(actual), F.col(predicted)
+    a, p = known(actual), known(predicted)
     valid = a.isNotNull() & p.isNotNull() & (a != 0)
     ape = F.when(valid, F.abs((a - p) / a))
     # The median leaves out groups without any percentage; those keep a null.

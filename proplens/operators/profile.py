@@ -13,13 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from proplens.functions.names import col
+from proplens.functions.scalar import known
 from proplens.operators.joins import join_group_stats
 from proplens.operators.quantiles import exact_quantiles
 
 
 def _stack(df: DataFrame, columns: Sequence[str], name: str = "column_name", value: str = "value") -> DataFrame:
     return df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias(name), col(c).cast("double").alias(value)) for c in columns])).alias("_s")
+        F.struct(F.lit(c).alias(name), known(col(c)).alias(value)) for c in columns])).alias("_s")
     ).select(f"_s.{name}", f"_s.{value}")
 
 
@@ -46,7 +47,7 @@ def histogram(df: DataFrame, column: str, bins: int = 50, group_cols: Sequence[s
     (one row per group) is joined back with a size-checked broadcast.
     """
     groups = list(group_cols)
-    v = F.col(column).cast("double")
+    v = known(F.col(column))
     data = df.select(*groups, v.alias("_x")).where(F.col("_x").isNotNull())
     rng = data.groupBy(*groups).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
     if not groups:
@@ -94,7 +95,7 @@ def _pair_stats(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     for members in blocks.values():
         aggs = []
         for i, (a, b) in enumerate(members):
-            x, y = col(a).cast("double"), col(b).cast("double")
+            x, y = known(col(a)), known(col(b))
             aggs.append(F.try_divide(F.regr_sxy(y, x), F.sqrt(F.regr_sxx(y, x)) * F.sqrt(F.regr_syy(y, x)))
                         .alias(f"_c{i}"))
         parts.append(df.agg(*aggs).select(F.explode(F.array(*[

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from proplens.functions.names import col
 from pyspark.sql import types as T
 
-from proplens.operators.clean import NUMERIC_TYPES
+from proplens.operators.clean import NUMERIC_TYPES, is_missing
 
 
 class DataQualityError(ValueError):
@@ -36,8 +36,8 @@ def quality_rules(df: DataFrame, dataset: str, required: Sequence[str] = (), tar
     dbl = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
     aggs = [F.count(F.lit(1)).alias("_rows")]
     if target and target in have:
-        aggs.append(F.count_if(F.col(target).isNull()).alias("_t"))
-    aggs += [F.count_if(col(c).isNull()).alias(f"_p{i}") for i, c in enumerate(preds)]
+        aggs.append(F.count_if(is_missing(df, target)).alias("_t"))
+    aggs += [F.count_if(is_missing(df, c)).alias(f"_p{i}") for i, c in enumerate(preds)]
     aggs += [F.count_if(F.abs(col(c)) == F.lit(float("inf"))).alias(f"_i{i}") for i, c in enumerate(dbl)]
     one = df.agg(*aggs)
     items = [F.struct(F.lit("not_empty").alias("rule"), F.lit(None).cast("string").alias("column"),

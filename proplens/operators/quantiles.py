@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from proplens.functions.names import col
+from proplens.functions.scalar import known
 from proplens.operators.joins import join_null_safe, written
 
 #: Bits of the key below the first and the second digit.
@@ -48,7 +49,7 @@ def order_key(value: Column) -> Column:
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
                     names: Sequence[str] | None = None, group_cols: Sequence[str] = ()) -> DataFrame:
-    """Exact linear-interpolated quantiles of ``value_col`` (NULLs skipped).
+    """Exact linear-interpolated quantiles of ``value_col`` (NULLs and NaN skipped).
 
     One row per group that has at least one non-null value (a null group is a group; without groups one row
     always), with one double column per probability.
@@ -56,8 +57,10 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
     groups = list(group_cols)
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
     g = [f"_g{i}" for i in range(len(groups))]
-    base = df.select(*[col(c).alias(a) for c, a in zip(groups, g)], col(value_col).cast("double").alias("_v")) \
-             .where(F.col("_v").isNotNull()).withColumn("_key", order_key(F.col("_v")))
+    base = df.select(*[col(c).alias(a) for c, a in zip(groups, g)], known(col(value_col)).alias("_v")) \
+             .where(F.col("_v").isNotNull())
+    # Read three times: written once, so that what stands above is computed once and each pass reads two columns.
+    base = written(base, "quantile_base").withColumn("_key", order_key(F.col("_v")))
 
     def wanted(n: Column) -> Column:
         """The ranks below and above each position, of which there are two per probability."""

@@ -7,11 +7,14 @@ metrics.  The fixed parameters below are the workflow's configuration.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from proplens.operators.clean import add_property_age, filter_equals, project
-from proplens.operators.split import split_by_date
+from proplens.operators.split import split_by_date, split_chronological
+from proplens.session import scratch_path
 from proplens.sources.tables import LINEITEM_KEYS, prepared_sales
 
 SEGMENT = {"PropertyType": "Residential", "PropertySubType": "SingleFamilyResidence"}
@@ -49,6 +52,26 @@ def train_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return split_by_date(prepared(spark, sf_dir), DATE_COL, TEST_CUTOFF)
 
 
+_SPLITS: dict[tuple[str, str], str] = {}
+_LOCK = threading.Lock()
+
+
+def fit_validation(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The first 80 % and the last 20 % of train by date, split once per session and written like ``prepared_sales``."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    with _LOCK:
+        path = _SPLITS.get(key)
+        if path is None:
+            train, _ = train_test(spark, sf_dir)
+            fit, val, _ = split_chronological(train, DATE_COL, LINEITEM_KEYS, VALIDATION_FRACTION)
+            path = scratch_path(spark, "fit_validation")
+            fit.withColumn("_side", F.lit("fit")).unionByName(val.withColumn("_side", F.lit("val"))).write.partitionBy(
+                "_side").parquet(path)
+            _SPLITS[key] = path
+        schema = train_test(spark, sf_dir)[0].schema
+    return tuple(spark.read.schema(schema).parquet(f"{path}/_side={side}") for side in ("fit", "val"))
+
+
 def prediction_columns(train: DataFrame) -> dict:
     """Fit the three SQL-definable predictors on ``train``; return model -> prediction Column.
 
@@ -109,9 +132,7 @@ def predictions(spark: SparkSession, sf_dir: str, model: str | None = None) -> D
 
 def validation_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three predictors fitted on the first 80 % of train, scored on the last 20 %."""
-    from proplens.operators.split import split_chronological
-    train, _ = train_test(spark, sf_dir)
-    fit, val, _ = split_chronological(train, DATE_COL, LINEITEM_KEYS, VALIDATION_FRACTION)
+    fit, val = fit_validation(spark, sf_dir)
     return sql_predictions(fit, val)
 
 

@@ -277,3 +277,27 @@ def test_odd_column_names(spark):
     assert [r["p.q"] for r in fixed] == [1.0, 9.0, 3.0]
     assert {r["column_name"] for r in clean.missing_summary(df).collect()} == set(df.columns)
     assert clean.project(df, ["p.q", "r`s"]).columns == ["p.q", "r`s"]
+
+
+def test_nan_counts_as_missing_everywhere(spark):
+    """x = (1, NaN, 3, NULL): the answers are those of (1, 3)."""
+    from proplens.operators import clean, metrics, profile, quality, quantiles
+    nan = float("nan")
+    df = spark.createDataFrame([(1.0, 2.0), (nan, 5.0), (3.0, 4.0), (None, 1.0)], "x double, y double")
+    assert {r["column_name"]: r["missing_count"] for r in clean.missing_summary(df).collect()} == {"x": 2, "y": 0}
+    rules = {(r["rule"], r["column"]): r["violations"] for r in quality.quality_rules(df, "d", target="x").collect()}
+    assert rules["target_not_missing", "x"] == 2
+    rules = {(r["rule"], r["column"]): r["violations"] for r in quality.quality_rules(df, "d", target="y").collect()}
+    assert rules["predictor_not_missing", "x"] == 2
+    assert clean.fit_medians(df, ["x"]).first()["x"] == 2.0
+    assert [r["x"] for r in clean.apply_fill(df, {"x": 2.0}).collect()] == [1.0, 2.0, 3.0, 2.0]
+    assert clean.fit_modes(df.unionByName(df).filter("x is null or isnan(x) or x = 3"), ["x"]).first()["x"] == "3.0"
+    d = profile.describe(df, ["x"]).first()
+    assert (d["count"], d["mean"], d["min"], d["max"], d["q50"]) == (2, 2.0, 1.0, 3.0, 2.0) and d["std"] == 1.4142
+    c = {(r["column_a"], r["column_b"]): r["correlation"] for r in profile.correlation_matrix(df, ["x", "y"]).collect()}
+    assert c["x", "x"] == 1.0 and c["x", "y"] == 1.0
+    h = profile.histogram(df, "x", bins=2).orderBy("bin").collect()
+    assert [(r["bin_start"], r["bin_end"], r["count"]) for r in h] == [(1.0, 2.0, 1), (2.0, 3.0, 1)]
+    m = metrics.regression_metrics(df.withColumnsRenamed({"x": "ActualClosePrice", "y": "PredictedClosePrice"})).first()
+    assert (m["ObservationCount"], m["MAE"], m["RMSE"]) == (2, 1.0, 1.0) and m["MdAPE"] == pytest.approx(66.666667)
+    assert quantiles.exact_median(df, "x").first()[0] == 2.0
