@@ -1,16 +1,21 @@
 """Descriptive statistics: describe, histograms, correlations, column profiles.
 
-Each profile is one aggregate over the data (columns side by side), reshaped
-afterwards on the tiny result.  Nothing is collected to the driver.
+Rows are read once per profile (twice where quantiles are asked for).  The driver
+gets at most a matrix of the columns, never rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.ml.functions import array_to_vector
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, DoubleType, FloatType, MapType, StructType
 
 from proplens.functions.names import col
 from proplens.functions.scalar import known
@@ -74,34 +79,46 @@ def histogram(df: DataFrame, column: str, bins: int = 50, group_cols: Sequence[s
                       F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"))
 
 
-#: Columns on each side of a block of pairs; one aggregate computes up to the square of it.
-BLOCK = 4
+#: A spread below this share of the squared distance from the column's reference value is rounding: constant.
+CONSTANT = 1e-12
+#: Rows that are looked at for a reference value near each column's values.
+HEAD_ROWS = 1000
 
 
 def _pair_stats(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Pairwise-complete correlation per (a, b) pair; a constant column gives NULL (never an error).
 
-    The pairs lie side by side in aggregates without groups, one per block of columns: rows are never multiplied,
-    and a block's scan reads its own columns only.
+    One scan for any number of columns: each row becomes a vector of its values (less a reference value, missing ones 0),
+    their squares, which are present and which infinite, and the Gram matrix of these vectors, summed as a tree over the
+    partitions, holds every pair's sums.  The driver gets that matrix, four rows a column, whatever the number of rows.
+    An infinite value makes NaN of the pairs that it takes part in.
     """
-    places: dict[str, int] = {}
-    for pair in pairs:
-        for c in pair:
-            places.setdefault(c, len(places) // BLOCK)
-    blocks: dict[tuple[int, int], list[tuple[str, str]]] = {}
+    names = list(dict.fromkeys(c for pair in pairs for c in pair))
+    k = len(names)
+    values = df.select(*[known(col(c)).alias(f"_{i}") for i, c in enumerate(names)])
+    finite = [F.when(F.abs(F.col(f"_{i}")) != float("inf"), F.col(f"_{i}")) for i in range(k)]
+    head = values.limit(HEAD_ROWS).agg(*[F.first(v, ignorenulls=True) for v in finite], F.count(F.lit(1))).first()
+    near = [F.coalesce(v - F.lit(h or 0.0), F.lit(0.0)) for v, h in zip(finite, head)]
+    there = [F.col(f"_{i}").isNotNull().cast("double") for i in range(k)]
+    endless = [F.coalesce((F.abs(F.col(f"_{i}")) == float("inf")).cast("double"), F.lit(0.0)) for i in range(k)]
+    rows = values.select(array_to_vector(F.array(*near, *[x * x for x in near], *there, *endless)).alias("v"))
+    rows = MLUtils.convertVectorColumnsFromML(rows, "v")
+    gram = np.zeros((4 * k, 4 * k)) if not head[k] else RowMatrix(rows, numCols=4 * k).computeGramianMatrix().toArray()
+    at = {c: i for i, c in enumerate(names)}
+    out = []
     for a, b in pairs:
-        blocks.setdefault((places[a], places[b]), []).append((a, b))
-    parts = []
-    for members in blocks.values():
-        aggs = []
-        for i, (a, b) in enumerate(members):
-            x, y = known(col(a)), known(col(b))
-            aggs.append(F.try_divide(F.regr_sxy(y, x), F.sqrt(F.regr_sxx(y, x)) * F.sqrt(F.regr_syy(y, x)))
-                        .alias(f"_c{i}"))
-        parts.append(df.agg(*aggs).select(F.explode(F.array(*[
-            F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"_c{i}").alias("correlation"))
-            for i, (a, b) in enumerate(members)])).alias("_s")).select("_s.*"))
-    return reduce(DataFrame.unionByName, parts)
+        i, j = at[a], at[b]
+        n, sx, sy = gram[2 * k + i, 2 * k + j], gram[i, 2 * k + j], gram[j, 2 * k + i]
+        xx, yy = gram[k + i, 2 * k + j], gram[k + j, 2 * k + i]
+        r = None
+        if gram[3 * k + i, 2 * k + j] or gram[3 * k + j, 2 * k + i]:
+            r = float("nan")
+        elif n:
+            vx, vy = xx - sx * sx / n, yy - sy * sy / n
+            if vx > CONSTANT * xx and vy > CONSTANT * yy:
+                r = float((gram[i, j] - sx * sy / n) / (math.sqrt(vx) * math.sqrt(vy)))
+        out.append((a, b, r))
+    return df.sparkSession.createDataFrame(out, "column_a string, column_b string, correlation double")
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
@@ -127,28 +144,40 @@ def target_correlation(df: DataFrame, target: str, columns: Sequence[str], k: in
 def column_profile(df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
     """(column_name, ordinal, data_type, missing_count, distinct_count).
 
-    Exact counts group each column by itself: its scan reads that column only, and only its distinct values are
-    shuffled.  With ``approx`` all columns share one aggregate of sketches.
+    One scan: every row gives its (column, value) pairs, which each partition makes distinct and counts before they are
+    shuffled by pair; a column's distinct values are then a count of pairs, so that no task holds a column.  NaN is one
+    value, as are both zeros.  With ``approx`` sketches take the place of the pairs.
     """
     cols = list(columns or df.columns)
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-
-    def row(i, missing, distinct):
-        return F.struct(F.lit(cols[i]).alias("column_name"), F.lit(i + 1).alias("ordinal"),
-                        F.lit(types[cols[i]]).alias("data_type"), missing.cast("long").alias("missing_count"),
-                        distinct.cast("long").alias("distinct_count"))
+    types = {f.name: f.dataType for f in df.schema.fields}
 
     if approx:
         agg = df.agg(*[F.count_if(col(c).isNull()).alias(f"_m{i}") for i, c in enumerate(cols)],
                      *[F.approx_count_distinct(col(c)).alias(f"_d{i}") for i, c in enumerate(cols)])
-        return agg.select(F.explode(F.array(*[
-            row(i, F.col(f"_m{i}"), F.col(f"_d{i}")) for i in range(len(cols))])).alias("_s")).select("_s.*")
-    parts = []
-    for i, c in enumerate(cols):
-        values = df.select(col(c).alias("_x")).groupBy("_x").agg(F.count(F.lit(1)).alias("_n"))
-        parts.append(values.agg(row(i, F.coalesce(F.sum(F.when(F.col("_x").isNull(), F.col("_n"))), F.lit(0)),
-                                    F.count("_x")).alias("_s")).select("_s.*"))
-    return reduce(DataFrame.unionByName, parts)
+        return agg.select(F.explode(F.array(*[F.struct(
+            F.lit(c).alias("column_name"), F.lit(i + 1).alias("ordinal"), F.lit(types[c].simpleString()).alias("data_type"),
+            F.col(f"_m{i}").alias("missing_count"), F.col(f"_d{i}").alias("distinct_count"))
+            for i, c in enumerate(cols)])).alias("_s")).select("_s.*")
+    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), _as_text(col(c), types[c]).alias("x"))
+                                          for i, c in enumerate(cols)])).alias("_s")).select("_s.*")
+    counts = pairs.groupBy("i", "x").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.groupBy("i").agg(F.sum(F.when(F.col("x").isNull(), F.col("n"))).alias("m"), F.count("x").alias("d"))
+    # One row per column on both sides.
+    every = df.sparkSession.createDataFrame([(i, c, i + 1, types[c].simpleString()) for i, c in enumerate(cols)],
+                                            "i int, column_name string, ordinal int, data_type string")
+    return every.join(counts, "i", "left").select("column_name", "ordinal", "data_type", *[
+        F.coalesce(x, F.lit(0)).cast("long").alias(a) for x, a in (("m", "missing_count"), ("d", "distinct_count"))])
+
+
+def _as_text(c: Column, kind: DataType) -> Column:
+    """A text that two values of a type share only if they are equal."""
+    if isinstance(kind, (FloatType, DoubleType)):
+        return F.when(c == 0, F.lit("0")).otherwise(c.cast("string"))
+    if isinstance(kind, BinaryType):
+        return F.hex(c)
+    if isinstance(kind, (ArrayType, StructType, MapType)):
+        return F.when(c.isNotNull(), F.to_json(F.struct(c.alias("x"))))
+    return c.cast("string")
 
 
 def category_counts(df: DataFrame, dimension: DataFrame, key: str, order_col: str,

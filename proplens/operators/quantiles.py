@@ -1,36 +1,34 @@
-"""Exact quantiles in three counting passes, by one method at every size.
+"""Exact quantiles in two scans, by one method at every size.
 
-Every double has an integer key of the same order (``order_key``: exponent and
-mantissa, as in its IEEE form).  A quantile's rank is found digit by digit:
+1. A mergeable sketch per group (``approx_percentile``) brackets every wanted quantile: two values between which it lies,
+   a few ten-thousandths of the group's rows apart.
+2. One counting pass.  A row inside a bracket counts for its value, any other for the zone between two brackets, so that
+   after map-side combining only the values inside the brackets are shuffled, each once.
 
-1. count the values per group and upper 20 bits of the key; a running sum over
-   these counts gives, for each wanted rank, its bucket and its rank therein;
-2. count the values of those buckets only by the next 22 bits, choose again;
-3. count the values of the buckets left by the last 22 bits, that is by value.
+Running sums over these counts (``ranged.running_sum``: no task holds a group) give the value at each rank.  The counts
+prove the brackets: a rank that falls into a zone has no value, and then the whole is counted again without brackets.
 
-Each pass is one map-side combined ``groupBy`` with at most 2^22 counters per
-group and rank, however many rows or distinct values there are; no task holds
-a group.  The result is numpy's and pandas' linear interpolation
-(``v[floor(pos)] + (v[ceil(pos)] - v[floor(pos)]) * frac``, pos = p(n-1)).
-
-The chosen buckets (at most two per group and probability) are written below
-the shared folder between passes: lineage is cut, and Spark broadcasts them by
-their size on disk or shuffles both sides.
+The result is numpy's and pandas' linear interpolation (``v[floor(pos)] + (v[ceil(pos)] - v[floor(pos)]) * frac``,
+pos = p(n-1)).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from proplens.functions.names import col
 from proplens.functions.scalar import known
-from proplens.operators.joins import join_null_safe, written
+from proplens.operators.joins import join_group_stats, join_null_safe, written
+from proplens.operators.ranged import running_sum
 
-#: Bits of the key below the first and the second digit.
-DIGITS = (44, 22, 0)
+#: Rank error of the sketch: a group's rows divided by this.  A group of no more rows is counted value by value.
+ACCURACY = 10_000
+#: Rank errors between a wanted rank and the ranks asked of the sketch: one is its own, the others cover the rounding.
+MARGIN = 3
 _MANTISSA = float(2 ** 52)
 
 
@@ -47,54 +45,75 @@ def order_key(value: Column) -> Column:
     return F.when(value < 0, -size).otherwise(size)
 
 
-def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
-                    names: Sequence[str] | None = None, group_cols: Sequence[str] = ()) -> DataFrame:
+def _brackets(base: DataFrame, groups: Sequence[str], probs: Sequence[float], accuracy: int) -> DataFrame:
+    """One row per group: arrays of the lower and upper ends, one of each per probability."""
+    def at(shift: float) -> Column:
+        return F.percentile_approx("_v", [min(1.0, max(0.0, float(p) + shift)) for p in probs], accuracy)
+
+    def unless_small(ends: str, bound: float) -> Column:
+        return F.when(F.col("_rows") > accuracy, F.col(ends)).otherwise(
+            F.array(*[F.lit(bound) for _ in probs])).alias(ends)
+
+    ends = base.groupBy(*groups).agg(F.count(F.lit(1)).alias("_rows"), at(-MARGIN / accuracy).alias("_lo"),
+                                     at(MARGIN / accuracy).alias("_hi"))
+    return ends.select(*groups, unless_small("_lo", float("-inf")), unless_small("_hi", float("inf")))
+
+
+def _counted(base: DataFrame, groups: Sequence[str], probs: Sequence[float], brackets: DataFrame | None) -> DataFrame:
+    """(groups, zone, value or null, rows): values inside a bracket one by one, all others by zone.
+
+    The zone is twice the number of brackets that end below the value, plus one inside a bracket; it never falls as the
+    values rise, also where brackets overlap.
+    """
+    value, zone = F.col("_v"), F.lit(0)
+    if brackets is not None:
+        base = join_group_stats(base, brackets, groups)
+        ends = [(F.col("_lo")[i], F.col("_hi")[i]) for i in range(len(probs))]
+        inside = reduce(lambda a, b: a | b, [(F.col("_v") >= lo) & (F.col("_v") <= hi) for lo, hi in ends])
+        passed = reduce(lambda a, b: a + b, [(F.col("_v") > hi).cast("int") for _, hi in ends])
+        value, zone = F.when(inside, F.col("_v")), passed * 2 + inside.cast("int")
+    return base.select(*groups, zone.alias("_z"), value.alias("_x")).groupBy(*groups, "_z", "_x").agg(
+        F.count(F.lit(1)).alias("_c"))
+
+
+def _picked(counts: DataFrame, groups: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """One row per group: the values at the ranks below (``_lo``) and above (``_hi``) each position, and its fraction."""
+    summed = running_sum(counts, [*groups, "_z", "_x"], "_c", "quantile_counts")
+    begin, n = (F.col("_cum") - F.col("_c")), F.col("_n")
+    size = written(summed.groupBy(*groups).agg(F.min(begin).alias("_first"), F.sum("_c").alias("_n")), "quantile_sizes")
+    rows = join_null_safe(summed, size, groups) if groups else join_group_stats(summed, size, [])
+    aggs = []
+    for i, p in enumerate(probs):
+        pos = (n - 1).cast("double") * F.lit(float(p))
+        for name, k in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
+            rank = F.col("_first") + k
+            aggs.append(F.max(F.when((begin <= rank) & (rank < F.col("_cum")), F.col("_x"))).alias(f"_{name}{i}"))
+        aggs.append(F.max(pos - F.floor(pos)).alias(f"_f{i}"))
+    return written(rows.groupBy(*groups).agg(*aggs), "quantiles")
+
+
+def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float], names: Sequence[str] | None = None,
+                    group_cols: Sequence[str] = (), accuracy: int = ACCURACY) -> DataFrame:
     """Exact linear-interpolated quantiles of ``value_col`` (NULLs and NaN skipped).
 
     One row per group that has at least one non-null value (a null group is a group; without groups one row
-    always), with one double column per probability.
+    always), with one double column per probability.  ``df`` is read twice and must give the same rows both times.
     """
     groups = list(group_cols)
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
     g = [f"_g{i}" for i in range(len(groups))]
-    base = df.select(*[col(c).alias(a) for c, a in zip(groups, g)], known(col(value_col)).alias("_v")) \
+    base = df.select(*[col(c).alias(a) for c, a in zip(groups, g)], known(col(value_col)).cast("double").alias("_v")) \
              .where(F.col("_v").isNotNull())
-    # Read three times: written once, so that what stands above is computed once and each pass reads two columns.
-    base = written(base, "quantile_base").withColumn("_key", order_key(F.col("_v")))
-
-    def wanted(n: Column) -> Column:
-        """The ranks below and above each position, of which there are two per probability."""
-        pos = [(n - 1).cast("double") * F.lit(float(p)) for p in probs]
-        return F.explode(F.array(*[
-            F.struct(F.lit(2 * i + j).alias("_t"), end(q).cast("long").alias("_k"), (q - F.floor(q)).alias("_f"))
-            for i, q in enumerate(pos) for j, end in enumerate((F.floor, F.ceil))]))
-
-    inside, found, above = g, None, None
-    for digit in DIGITS:
-        bucket = F.shiftright("_key", digit)
-        rows = base if found is None else join_null_safe(
-            base.withColumn("_in", F.shiftright("_key", above)), found.select(*inside), inside, "left_semi")
-        counts = rows.groupBy(*inside, bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_c"),
-                                                               F.min("_v").alias("_value"))
-        part = Window.partitionBy(*(inside or [F.lit(0)]))
-        counts = counts.select("*", F.sum("_c").over(part.orderBy("_b").rowsBetween(
-            Window.unboundedPreceding, Window.currentRow)).alias("_cum"), F.sum("_c").over(part).alias("_n"))
-        ranks = counts.select("*", wanted(F.col("_n")).alias("_w")).select("*", "_w.*").drop("_w") \
-            if found is None else join_null_safe(counts, found.drop("_value"), inside)
-        here = ranks.where((F.col("_cum") - F.col("_c") <= F.col("_k")) & (F.col("_k") < F.col("_cum")))
-        found = written(here.select(*g, F.col("_b").alias("_in"), "_t",
-                                    (F.col("_k") - (F.col("_cum") - F.col("_c"))).alias("_k"), "_f", "_value"),
-                        "quantile")
-        inside, above = [*g, "_in"], digit
-
-    out, cols = [], []
+    found = _picked(_counted(base, g, probs, _brackets(base, g, probs, accuracy)), g, probs)
+    if found.where(reduce(lambda a, b: a | b, [F.col(f"_f{i}").isNotNull() & (
+            F.col(f"_lo{i}").isNull() | F.col(f"_hi{i}").isNull()) for i in range(len(probs))])).count():
+        found = _picked(_counted(base, g, probs, None), g, probs)
+
+    cols = []
     for i, name in enumerate(names):
-        out += [F.max(F.when(F.col("_t") == 2 * i + j, F.col("_value"))).alias(f"_{end}{i}")
-                for j, end in enumerate(("lo", "hi"))]
-        out.append(F.max(F.when(F.col("_t") == 2 * i, F.col("_f"))).alias(f"_f{i}"))
         lo, hi, f = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(f"_f{i}")
         cols.append(F.when(f == 0, lo).otherwise(lo + (hi - lo) * f).alias(name))
-    return found.groupBy(*g).agg(*out).select(*[F.col(a).alias(c) for c, a in zip(groups, g)], *cols)
+    return found.select(*[F.col(a).alias(c) for c, a in zip(groups, g)], *cols)
 
 
 def exact_median(df: DataFrame, value_col: str, group_cols: Sequence[str] = (), name: str = "median") -> DataFrame:

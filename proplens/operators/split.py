@@ -2,7 +2,7 @@
 
 ``split_chronological`` returns exactly the rows a global ``row_number`` over
 (order columns) would put first, without sorting all rows in one task: it
-counts rows per date, narrows bucket sums down to the boundary date, and
+counts rows per date, finds the boundary date by a running sum, and
 ranks only that date's rows.
 """
 
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from proplens.functions.names import col
+from proplens.operators.ranged import running_sum
 
 
 def split_by_date(df: DataFrame, date_col: str, cutoff: str) -> tuple[DataFrame, DataFrame]:
@@ -34,6 +35,7 @@ def fit_count(n: int, fraction: float) -> int:
     return cut
 
 
+#: Ranges of dates that a running count is dealt into, at most.
 BUCKETS = 4096
 
 
@@ -55,26 +57,6 @@ def date_key(df: DataFrame, date_col: str) -> Column:
     return day + F.hour(d) * 3_600_000_000 + F.minute(d) * 60_000_000 + second
 
 
-def _boundary(counts: DataFrame, cut: int) -> tuple[int, int]:
-    """(key, rows before it) of the key at which the running count reaches ``cut``.
-
-    counts: key, n.  The key range is cut into at most BUCKETS buckets; their sums show the boundary bucket, which is
-    cut again until it is one key.  Only bucket sums reach the driver.
-    """
-    lo, hi = counts.agg(F.min("key"), F.max("key")).first()
-    before = 0
-    while lo < hi:
-        width = -(-(hi - lo + 1) // BUCKETS)
-        sums = (counts.where(F.col("key").between(lo, hi)).withColumn("b", F.expr(f"(key - ({lo}L)) div {width}L"))
-                .groupBy("b").agg(F.sum("n").alias("n")).collect())
-        for b, n in sorted((r["b"], r["n"]) for r in sums):
-            if before + n >= cut:
-                break
-            before += n
-        lo, hi = lo + b * width, min(hi, lo + (b + 1) * width - 1)
-    return lo, before
-
-
 def split_chronological(df: DataFrame, date_col: str, tiebreak: Sequence[str], fraction: float = 0.2,
                         n: int | None = None) -> tuple[DataFrame, DataFrame, int]:
     """First ``floor(n(1-f))`` rows by (date, tiebreak...) -> fit, the rest -> validation.
@@ -82,18 +64,17 @@ def split_chronological(df: DataFrame, date_col: str, tiebreak: Sequence[str], f
     Returns (fit, validation, cut).  ``tiebreak`` should make the order total;
     fully identical rows are interchangeable, so any of them may be taken.
 
-    Rows are counted per date once; bucket sums of those counts lead to the one boundary date, whatever the number of
-    dates.  Only that date's rows need a rank: a range partitioning on the tiebreak columns plus a salt, so that one huge
+    Rows are counted per date once; a running sum over these counts, dealt by ranges of dates, shows the one boundary
+    date in one job, whatever the number of dates.  Only that date's rows need a rank: a range partitioning on the tiebreak columns plus a salt, so that one huge
     date, or many copies of one row, spreads over all tasks, checkpointed so that per-partition offsets stay valid.
     """
     spark = df.sparkSession
     key = date_key(df, date_col)
-    counts = (df.where(F.col(date_col).isNotNull()).groupBy(key.alias("key")).agg(F.count(F.lit(1)).alias("n"))
-              .checkpoint(eager=True))
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    cut = fit_count(total if n is None else n, fraction)
-    edge, before_n = _boundary(counts, cut)
-    take = cut - before_n
+    counts = running_sum(df.where(F.col(date_col).isNotNull()).groupBy(key.alias("key")).agg(F.count(F.lit(1)).alias("n")),
+                         ["key"], "n", "split_dates", BUCKETS)
+    cut = fit_count((counts.agg(F.max("_cum")).first()[0] or 0) if n is None else n, fraction)
+    edge = counts.where(F.col("_cum") >= cut).agg(F.min("key"), F.min(F.col("_cum") - F.col("n"))).first()
+    edge, take = edge[0], cut - edge[1]
     cols = [col(c) for c in df.columns]
     before, after, day = df.where(key < edge), df.where(key > edge), df.where(key == edge)
     ranked = _rank_spread(day, [col(c) for c in tiebreak], int(spark.conf.get("spark.sql.shuffle.partitions")))

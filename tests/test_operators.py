@@ -104,6 +104,48 @@ def test_quantiles_match_numpy(spark, probs):
         assert np.allclose(qs, want, rtol=1e-12, atol=0), g
 
 
+def test_quantiles_by_brackets(spark, monkeypatch):
+    """Brackets that leave most rows out, ties over many ranks, overlapping brackets, and brackets that miss."""
+    import numpy as np
+    rng = np.random.default_rng(4)
+    values = {"smooth": rng.normal(size=4000) * 1e5, "ties": rng.integers(0, 7, 3001).astype(float),
+              "ends": np.r_[np.full(900, -np.inf), rng.random(2100), np.full(77, np.inf)], "small": rng.random(30)}
+    df = spark.createDataFrame([(g, float(v)) for g, vs in values.items() for v in vs], "g string, v double").repartition(5)
+    probs = [0.0, 0.25, 0.5, 0.501, 0.9, 1.0]
+
+    def check(**kw):
+        got = {r["g"]: list(r)[1:] for r in quantiles.exact_quantiles(df, "v", probs, [f"p{p}" for p in probs], ["g"],
+                                                                       **kw).collect()}
+        assert set(got) == set(values)
+        for g, vs in values.items():
+            vs, want = sorted(map(float, vs)), []
+            for p in probs:
+                at = p * (len(vs) - 1)
+                lo, hi, f = vs[int(np.floor(at))], vs[int(np.ceil(at))], at - np.floor(at)
+                want.append(lo if f == 0 else lo + (hi - lo) * f)
+            assert np.array_equal(got[g], want, equal_nan=True), g
+
+    check(accuracy=200)
+    base = df.select(df.g.alias("_g0"), df.v.alias("_v"))
+    kept = quantiles._counted(base, ["_g0"], probs, quantiles._brackets(base, ["_g0"], probs, 200)).filter("_g0 = 'smooth'")
+    assert 0 < kept.count() < 1200 and kept.agg({"_c": "sum"}).first()[0] == 4000
+    wrong = base.groupBy("_g0").agg(*[F.array(*[F.lit(1e9) for _ in probs]).alias(c) for c in ("_lo", "_hi")])
+    monkeypatch.setattr(quantiles, "_brackets", lambda *a: wrong)
+    check()
+
+
+def test_running_sum_is_the_sorted_tables(spark):
+    from proplens.operators.ranged import running_sum
+    rows = [(i * 7919 % 501, i % 13) for i in range(501)]
+    df = spark.createDataFrame(rows, "k long, n long").repartition(4)
+    got = {r["k"]: r["_cum"] for r in running_sum(df, ["k"], "n").collect()}
+    total, want = 0, {}
+    for k, n in sorted(rows):
+        total += n
+        want[k] = total
+    assert got == want and running_sum(df.limit(0), ["k"], "n").count() == 0
+
+
 def test_quantiles_without_groups_or_values(spark):
     df = spark.createDataFrame([(float(i),) for i in range(101)], "v double")
     r = quantiles.exact_quantiles(df, "v", [0.5, 0.25], ["m", "q"]).first()
@@ -111,6 +153,39 @@ def test_quantiles_without_groups_or_values(spark):
     assert [tuple(r) for r in quantiles.exact_quantiles(df.limit(0), "v", [0.5], ["m"]).collect()] == [(None,)]
 
 
+def test_correlations_far_from_zero_with_infinities_and_repeats(spark):
+    """Values of 1e9 and a spread of 1; a column constant where another is known; an infinity spoils its own pairs only."""
+    import numpy as np
+    rng = np.random.default_rng(8)
+    a = rng.normal(size=900)
+    x = np.c_[1e9 + a, 1e-6 * (a + rng.normal(size=900)), np.where(np.arange(900) < 400, 7.25, a), a, np.full(900, 0.1)]
+    x[400:, 3] = np.nan
+    x[5, 1] = np.inf
+    cols = ["big", "inf", "half", "first", "same"]
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in r) for r in x],
+                               ", ".join(f"{c} double" for c in cols)).repartition(6)
+    got = {(r["column_a"], r["column_b"]): r["correlation"] for r in profile.correlation_matrix(df, cols, 9).collect()}
+    assert got["big", "half"] == pytest.approx(np.corrcoef(x[:, 0], x[:, 2])[0, 1], abs=1e-8)
+    assert got["big", "first"] == pytest.approx(np.corrcoef(x[:400, 0], x[:400, 3])[0, 1], abs=1e-7)
+    assert got["half", "first"] is None and all(got["same", c] is None for c in cols if c != "inf")
+    assert all(np.isnan(got["inf", c]) for c in ("big", "half", "first", "inf"))
+    # A column is read with the others of its query in one scan, whatever their number.
+    empty = profile.correlation_matrix(df.limit(0), ["big", "half"]).collect()
+    assert len(empty) == 4 and all(r["correlation"] is None for r in empty)
+
+
+def test_column_profile_of_every_type_in_one_scan(spark):
+    df = spark.sql("""SELECT * FROM VALUES
+        (1, 0.0D, 'a', DATE'2020-01-01', array(1), binary('x'), true), (2, -0.0D, 'A', NULL, array(1), binary('y'), NULL),
+        (1, double('NaN'), '', DATE'2020-01-01', NULL, binary('x'), true), (NULL, double('NaN'), NULL, NULL, array(2), NULL, true)
+        AS t(i, d, s, day, arr, bin, ok)""").withColumnRenamed("s", "a.b")
+    got = profile.column_profile(df)
+    assert [(r["column_name"], r["ordinal"], r["missing_count"], r["distinct_count"]) for r in got.orderBy("ordinal").collect()] \
+        == [("i", 1, 1, 2), ("d", 2, 0, 2), ("a.b", 3, 1, 3), ("day", 4, 2, 1), ("arr", 5, 1, 2), ("bin", 6, 1, 2), ("ok", 7, 1, 1)]
+    none = profile.column_profile(df.limit(0)).orderBy("ordinal").collect()
+    assert [(r["missing_count"], r["distinct_count"]) for r in none] == [(0, 0)] * 7
+
+
 def test_correlation_blocks_skip_missing_pairwise(spark):
     import numpy as np
     rng = np.random.default_rng(3)
