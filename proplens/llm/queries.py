@@ -14,8 +14,6 @@ SHARDS = 40
 TOKENIZER = "byte_bpe_50k.json"
 RULES = [url_filter.Rule("block", "net", "/"), url_filter.Rule("allow", "example.net", "/en/"),
          url_filter.Rule("block", "example.com", "/de/"), url_filter.Rule("allow", "org", "/fr/")]
-#: Host names of which any label makes a page's canonical URL a listed one.
-LISTED_HOSTS = r"(^|\.)(spam-farm|cheap-pills|casino-win|free-bets|ads-track)\."
 
 
 def op1_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,9 +48,7 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    host, path = url_filter.host_and_path(F.col("url"))
-    listed = pages.select("url", host.alias("host"), path.alias("path")).filter(F.col("host").rlike(LISTED_HOSTS))
-    listed = listed.select(url_filter.canonical_url(F.col("url"), F.col("host"), F.col("path")).alias("canonical"))
+    listed = url_filter.listed_pages(pages, min_words=50, distinct_share=0.25)
     return url_filter.filter_urls(pages, listed, RULES).select("page_id", "host", "path", "rule", "verdict", "listed")
 
 
@@ -95,6 +91,10 @@ _CRC = """xor(list_reduce(list_transform(string_split({0}, ''), lambda c: CAST(a
   list_reduce(range(8), lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, xor(a, x)),
   CAST(4294967295 AS BIGINT)), 4294967295)"""
 _LOWER = f"translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}')"
+#: A page without scripts, styles, comments and tags.
+_SEEN = "coalesce(html, '')"
+for _pattern in url_filter.UNSEEN:
+    _SEEN = f"regexp_replace({_SEEN}, '{_pattern}', ' ', 'g')"
 
 ORACLE = {
     "op2_exact_dedup": """
@@ -129,15 +129,19 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) A
   sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)""",
     "op7_url_filter": rf"""
-WITH u AS (SELECT page_id, url,
+WITH u AS (SELECT page_id, url, html,
     translate(coalesce(regexp_extract(url, '^.*?://([^/?#]*)([^?#]*)', 1, 's'), ''), '{UPPER}', '{UPPER.lower()}') AS host,
     coalesce(regexp_extract(url, '^.*?://([^/?#]*)([^?#]*)', 2, 's'), '') AS path FROM pages),
 q AS (SELECT *, list_sort(list_filter(string_split(regexp_extract(url, '^[^#]*?\?([^#]*)', 1, 's'), '&'),
     lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|ref|gclid|fbclid)(=|$)'))) AS query FROM u),
-c AS (SELECT *, regexp_replace(host, ':(80|443)$', '')
+c AS (SELECT * EXCLUDE (html), regexp_replace(host, ':(80|443)$', '')
     || regexp_replace(regexp_replace(path, '/index\.html?$', '/'), '/+$', '')
-    || CASE WHEN len(query) > 0 THEN '?' || array_to_string(query, '&') ELSE '' END AS canonical FROM q),
-l AS (SELECT DISTINCT canonical FROM c WHERE regexp_matches(host, '{LISTED_HOSTS}')),
+    || CASE WHEN len(query) > 0 THEN '?' || array_to_string(query, '&') ELSE '' END AS canonical,
+    regexp_extract_all(translate({_SEEN}, '{UPPER}', '{UPPER.lower()}'), '{PLAIN_WORD}') AS words FROM q),
+w AS (SELECT page_id, canonical, words, row_number() OVER (PARTITION BY words ORDER BY page_id NULLS FIRST, canonical) AS i
+  FROM c WHERE host <> '' AND len(words) >= 50),
+l AS (SELECT canonical FROM w WHERE len(list_distinct(words)) < len(words) * 0.25
+  UNION SELECT w.canonical FROM w JOIN w f ON f.words = w.words AND f.i = 1 WHERE w.canonical <> f.canonical),
 r AS (SELECT *, CASE
     WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
     WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
