@@ -6,8 +6,8 @@ windows have equal minimisers, so no bucket needs another.
 
 Three reductions come before any text moves.  Equal texts are judged once: of a later copy every window is in the first.
 A minimiser seen in one text only can have no shared window, so its super-k-mers stay home.  And a bucket with more than
-``bucket_rows`` super-k-mers is not sorted in one place: its windows are spread by their own digest and combined before
-the shuffle.
+``bucket_rows`` super-k-mers or ``bucket_windows`` windows (one line repeated through a long text is one super-k-mer) is not
+sorted in one place: its windows are spread by their own SHA-256 and combined before the shuffle.
 """
 
 from __future__ import annotations
@@ -16,12 +16,13 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from proplens.llm.common import text_key, written
 
+#: Windows of a spread bucket that are handed on at once.
+SPREAD_WINDOWS = 8192
 #: Bytes of text that are hashed at once; a longer document is handled whole.
 BLOCK_BYTES = 2 << 20
 #: A null identifier is later than any other.
@@ -179,13 +180,13 @@ _SPAN = "k1 long, k2 long, begin int, end int"
 
 
 def repeated_spans(scan: DataFrame, docs: DataFrame, text_col: str, id_col: str, window: int,
-                   bucket_rows: int) -> tuple[DataFrame, DataFrame]:
+                   bucket_rows: int, bucket_windows: int) -> tuple[DataFrame, DataFrame]:
     """(texts that may have repeats, spans of their words that also start in a text with a smaller identifier)."""
     spans = scan.select("k1", "k2", "doc_id", F.explode(F.arrays_zip("h", "start", "n")).alias("s")).select(
         "k1", "k2", "doc_id", "s.*")
     shared = spans.groupBy("h").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"),
-                                    F.count(F.lit(1)).alias("rows")).filter("a <> b")
-    wanted = spans.join(shared.select("h", (F.col("rows") > bucket_rows).alias("hot")), "h").groupBy(
+                                    F.count(F.lit(1)).alias("rows"), F.sum("n").alias("windows")).filter("a <> b")
+    wanted = spans.join(shared.select("h", ((F.col("rows") > bucket_rows) | (F.col("windows") > bucket_windows)).alias("hot")), "h").groupBy(
         "k1", "k2", "doc_id").agg(F.collect_list(F.struct("h", "start", "n", "hot")).alias("spans"))
     text = F.coalesce(F.col(text_col), F.lit(""))
     source = docs.select(*text_key(text), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc_id"),
@@ -250,11 +251,14 @@ def repeated_spans(scan: DataFrame, docs: DataFrame, text_col: str, id_col: str,
                     "k1", "k2", "doc_id", "start", "packed"))):
                 words = packed.split(b" ")
                 n = len(words) - window + 1
-                digest = [xxhash.xxh3_128_digest(b" ".join(words[j:j + window])) for j in range(n)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k1] * n), pa.array([k2] * n), pa.array([owner] * n),
-                     pa.array(range(start, start + n), pa.int32()), pa.array(digest, pa.binary())],
-                    ["k1", "k2", "doc_id", "begin", "digest"])
+                for at in range(0, n, SPREAD_WINDOWS):
+                    digest = [hashlib.sha256(b" ".join(words[j:j + window])).digest()
+                              for j in range(at, min(n, at + SPREAD_WINDOWS))]
+                    m = len(digest)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([k1] * m), pa.array([k2] * m), pa.array([owner] * m),
+                         pa.array(range(start + at, start + at + m), pa.int32()), pa.array(digest, pa.binary())],
+                        ["k1", "k2", "doc_id", "begin", "digest"])
 
     single = suspects.filter(F.exists("spans", lambda s: s["hot"])).mapInArrow(pack(True), schema).mapInArrow(
         unpack, "k1 long, k2 long, doc_id long, begin int, digest binary")
@@ -274,7 +278,7 @@ def cut_words(words: list[bytes], spans: list[tuple[int, int]]) -> list[bytes]:
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50, m: int = 8,
-                    bucket_rows: int = 5000) -> DataFrame:
+                    bucket_rows: int = 5000, bucket_windows: int = 50_000) -> DataFrame:
     """One row per input row: doc_id, n_words, n_removed, spans, kept_sha256.
 
     A word goes if a window of ``window`` consecutive words that covers it also starts in a document with a smaller
@@ -290,7 +294,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = scan.groupBy("k1", "k2").agg(F.min("doc_id").alias("first_id"))
     scan = written(scan.join(texts, ["k1", "k2"]), "scan-first")
     own = scan.filter("doc_id = first_id")
-    suspects, spans = repeated_spans(own, docs, text_col, id_col, window, bucket_rows)
+    suspects, spans = repeated_spans(own, docs, text_col, id_col, window, bucket_rows, bucket_windows)
     found = written(spans.groupBy("k1", "k2").agg(F.sort_array(F.collect_set(F.struct("begin", "end"))).alias("gone")),
                     "spans")
 
