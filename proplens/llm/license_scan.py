@@ -21,24 +21,90 @@ _IS_WORD[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x8
 #: Bytes of text whose words are counted at once.
 BLOCK_BYTES = 4 << 20
 
-#: Label and wording.  Fixed values: the notices as their licenses state them.
+#: Whole wordings that must stand as their licenses state them.  Fixed values.
+MIT = (
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+    "documentation files the software to deal in the software without restriction including without limitation the "
+    "rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit "
+    "persons to whom the software is furnished to do so subject to the following conditions the above copyright notice "
+    "and this permission notice <<opt>>including the next paragraph<<end>> shall be included in all copies or "
+    "substantial portions of the software the software is provided as is without warranty of any kind express or implied "
+    "including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement "
+    "in no event shall the <<any:6>> be liable for any claim damages or other liability whether in an action of contract "
+    "tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software")
+BSD_CONDITIONS = (
+    "redistribution and use in source and binary forms with or without modification are permitted provided that the "
+    "following conditions are met <<any:1>> redistributions of source code must retain the above copyright notice this "
+    "list of conditions and the following disclaimer <<any:1>> redistributions in binary form must reproduce the above "
+    "copyright notice this list of conditions and the following disclaimer in the documentation and or other materials "
+    "provided with the distribution")
+BSD_THIRD = (
+    "<<any:1>> neither the name of <<any:12>> nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission")
+BSD_DISCLAIMER = (
+    "this software is provided by <<any:8>> as is and any express or implied warranties including but not limited to the "
+    "implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall "
+    "<<any:8>> be liable for any direct indirect incidental special exemplary or consequential damages including but not "
+    "limited to procurement of substitute goods or services loss of use data or profits or business interruption however "
+    "caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise "
+    "arising in any way out of the use of this software even if advised of the possibility of such damage")
+ISC = (
+    "permission to use copy modify and <<opt>>or<<end>> distribute this software for any purpose with or without fee is "
+    "hereby granted provided that the above copyright notice and this permission notice appear in all copies the software "
+    "is provided as is and <<any:8>> disclaims all warranties with regard to this software including all implied "
+    "warranties of merchantability and fitness in no event shall <<any:8>> be liable for any special direct indirect or "
+    "consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of "
+    "contract negligence or other tortious action arising out of or in connection with the use or performance of this "
+    "software")
+APACHE_NOTICE = (
+    "licensed under the apache license version 2 0 the license you may not use <<any:2>> except in compliance with the "
+    "license you may obtain a copy of the license at <<any:1>> www apache org licenses license 2 0 unless required by "
+    "applicable law or agreed to in writing software distributed under the license is distributed on an as is basis "
+    "without warranties or conditions of any kind either express or implied see the license for the specific language "
+    "governing permissions and limitations under the license")
+MPL_NOTICE = (
+    "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not "
+    "distributed with this file you can obtain one at <<any:1>> mozilla org mpl 2 0")
+
+
+def gnu_notice(kind: str, version: str) -> str:
+    """The notice of a GNU license, whose name and version alone differ."""
+    name = f"gnu {kind}general public license"
+    return (f"free software you can redistribute it and or modify it under the terms of the {name} as published by the "
+            f"free software foundation <<opt>>either<<end>> version {version} of the license <<opt>>or at your option any "
+            "later version<<end>> <<any:3>> is distributed in the hope that it will be useful but without any warranty "
+            "without even the implied warranty of merchantability or fitness for a particular purpose see the "
+            f"{name} for more details <<opt>>you should have received a copy of the {name} along with <<any:3>> if not "
+            "see <<any:1>> www gnu org licenses<<end>>")
+
+
+def gnu_line(kind: str, version: str) -> str:
+    return (f"<<opt>>this <<any:3>> is<<end>> licensed under the gnu {kind}general public license <<opt>>as published by "
+            f"the free software foundation<<end>> <<opt>>either<<end>> version {version} <<opt>>of the license<<end>> "
+            "<<opt>>or <<opt>>at your option<<end>> any later version<<end>>")
+
+
+def commons_line(short: str, words: str) -> list[str]:
+    return [f"licensed under <<opt>>a<<end>> <<opt>>the<<end>> cc {short} 4 0",
+            f"<<opt>>licensed under <<opt>>a<<end>> <<opt>>the<<end>><<end>> creative commons {words} 4 0 international "
+            "<<opt>>public<<end>> license"]
+
+
+#: Label, words of a GNU license's kind, version.
+GNU = (("gpl-2.0", "", "2"), ("gpl-3.0", "", "3"), ("lgpl-2.1", "lesser ", "2 1"), ("lgpl-3.0", "lesser ", "3"),
+       ("agpl-3.0", "affero ", "3"))
+#: Label, short name, words of a Creative Commons license.
+COMMONS = (("cc-by-4.0", "by", "attribution"), ("cc-by-sa-4.0", "by sa", "attribution sharealike"),
+           ("cc-by-nc-4.0", "by nc", "attribution noncommercial"))
+#: Label and wording: whole licenses, whole notices, and the one-line statements that name a license and its version.
 TEMPLATES = (
-    ("apache-2.0", "<<opt>>this <<any:3>> is<<end>> licensed under the apache license <<opt>>version<<end>> 2 0"),
+    ("mit", MIT), ("isc", ISC), ("bsd-2-clause", f"{BSD_CONDITIONS} {BSD_DISCLAIMER}"),
+    ("bsd-3-clause", f"{BSD_CONDITIONS} {BSD_THIRD} {BSD_DISCLAIMER}"), ("apache-2.0", APACHE_NOTICE),
+    ("mpl-2.0", MPL_NOTICE),
     ("mit", "released under the <<opt>>terms of the<<end>> mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and "
-            "associated documentation files the software to deal in the software without restriction"),
-    ("gpl-3.0", "<<opt>>this <<any:3>> is<<end>> licensed under the gnu general public license <<opt>>as published by "
-                "the free software foundation<<end>> <<opt>>either<<end>> version 3 <<opt>>of the license<<end>> "
-                "<<opt>>or <<opt>>at your option<<end>> any later version<<end>>"),
-    ("gpl", "<<opt>>this program<<end>> is free software you can redistribute it and or modify it under the terms of "
-            "the gnu general public license as published by the free software foundation <<opt>>either<<end>> version "
-            "<<any:1>> <<opt>>of the license<<end>>"),
-    ("cc-by-nc-4.0", "licensed under <<opt>>a<<end>> <<opt>>the<<end>> cc by nc 4 0"),
-    ("cc-by-nc-4.0", "creative commons attribution noncommercial 4 0 international <<opt>>public<<end>> license"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that "
-            "the following conditions are met"),
-    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is "
-            "hereby granted provided that the above copyright notice <<any:6>> appear in all copies"),
+    ("apache-2.0", "<<opt>>this <<any:3>> is<<end>> licensed under the apache license <<opt>>version<<end>> 2 0"),
+    *[(label, wording(kind, version)) for label, kind, version in GNU for wording in (gnu_notice, gnu_line)],
+    *[(label, wording) for label, short, words in COMMONS for wording in commons_line(short, words)],
 )
 
 
