@@ -268,6 +268,17 @@ def repeated_spans(scan: DataFrame, docs: DataFrame, text_col: str, id_col: str,
     return suspects, ordinary.unionByName(spread)
 
 
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Sorted spans with those that meet or overlap as one."""
+    out: list[tuple[int, int]] = []
+    for begin, end in spans:
+        if out and begin <= out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((begin, end))
+    return out
+
+
 def cut_words(words: list[bytes], spans: list[tuple[int, int]]) -> list[bytes]:
     """The words outside all spans."""
     drop = np.zeros(len(words) + 1, np.int64)
@@ -282,7 +293,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per input row: doc_id, n_words, n_removed, spans, kept_sha256.
 
     A word goes if a window of ``window`` consecutive words that covers it also starts in a document with a smaller
-    identifier; spans are the word ranges [begin, end) that go, kept_sha256 is that of the remaining words joined by one
+    identifier; spans are the word ranges [begin, end) that go, apart from each other, kept_sha256 is that of the remaining words joined by one
     space.  Words are runs without ASCII white space.  Null and empty texts have no words, texts shorter than a window
     lose none.  A null identifier is later than any other; rows with the same identifier never remove from each other.
     Identifiers are whole numbers.  An empty table gives no rows.
@@ -300,10 +311,11 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def cut(batches):
         for b in batches:
-            kept = [cut_words(t.as_py().split(), [(s["begin"], s["end"]) for s in g.as_py()])
-                    for t, g in zip(b["text"], b["gone"])]
+            gone = [merged([(s["begin"], s["end"]) for s in g.as_py()]) for g in b["gone"]]
+            kept = [cut_words(t.as_py().split(), g) for t, g in zip(b["text"], gone)]
+            gone = pa.array([[{"begin": begin, "end": end} for begin, end in g] for g in gone], b.schema.field("gone").type)
             yield pa.RecordBatch.from_arrays(
-                [b["k1"], b["k2"], b["gone"], pa.array([len(k) for k in kept], pa.int64()),
+                [b["k1"], b["k2"], gone, pa.array([len(k) for k in kept], pa.int64()),
                  pa.array([_joined_sha(k) for k in kept])], ["k1", "k2", "gone", "n_kept", "kept_sha"])
 
     part = suspects.select("k1", "k2", "text").join(found, ["k1", "k2"]).mapInArrow(
