@@ -168,3 +168,14 @@ def test_empty(spark, frame, sf_docs):
     assert simhash.simhash_groups(none).count() == simhash.one_of_each(none).count() == 0
     assert D.decontaminate(none, items).count() == substring_dedup.substring_dedup(none).count() == 0
     assert D.decontaminate(frame(sf_docs[:5]), items).filter("contaminated").count() == 0
+
+
+def test_substring_buckets_are_bounded_by_windows(frame):
+    """A line repeated through long texts is one super-k-mer of very many windows; both ways give brute force's rows."""
+    line = " ".join(f"w{i}" for i in range(20))
+    rows = [(1, f"{line} " * 300, None, None), (2, "start " + f"{line} " * 200 + "end", None, None), (3, line, None, None)]
+    spread = substring_dedup.substring_dedup(frame(rows), bucket_windows=100).collect()
+    sorted_ = substring_dedup.substring_dedup(frame(rows), bucket_rows=10 ** 6, bucket_windows=10 ** 9).collect()
+    assert sorted(map(tuple, spread)) == sorted(map(tuple, sorted_))
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"]) for r in spread}
+    assert got == {1: (6000, 0), 2: (4002, 4000), 3: (20, 0)}

@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from proplens.llm import language_id, license_scan, token_output, url_filter
@@ -98,6 +99,52 @@ def test_url_filter(spark):
     assert url_filter.filter_urls(df.limit(0), listed, RULES).count() == 0
 
 
+def test_listed_pages(spark, monkeypatch):
+    """A list by what pages say: of two URLs of one host one is listed; against plain string work."""
+    from html.parser import HTMLParser
+
+    class Seen(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=False)
+            self.out, self.off = [], 0
+        def handle_starttag(self, tag, attrs): self.off += tag in ("script", "style"); self.out.append(" ")
+        def handle_endtag(self, tag): self.off -= tag in ("script", "style"); self.out.append(" ")
+        def handle_comment(self, data): self.out.append(" ")
+        def handle_data(self, data): self.out.append("" if self.off else data)
+
+    def words(html):
+        seen = Seen()
+        seen.feed(html or "")
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(seen.out).translate(UP))
+
+    good = "<p>" + " ".join(f"Word{i}" for i in range(60)) + "</p><script>var x = 1 < 2;</script>"
+    rows = [(3, "http://a.com/good", good), (4, "http://a.com/junk?utm_source=x", "<b>" + "Buy now <i>cheap</i> " * 40 + "</b>"),
+            (5, "http://b.com/same", good.replace("<p>", "<!-- x > y --><div>")), (6, "https://a.com/good/", good.upper()),
+            (7, "http://c.com/short", "spam " * 49), (8, None, "spam " * 90), (9, "http://c.com/null", None),
+            (None, "no host", good), (10, "http://d.com/é", "É é <style>p{}</style>" * 30), (10, "http://d.com/é", "Éé " * 60)]
+    rows += [(100 + i, f"http://copies.com/{i}", good.replace("Word3 ", "Other ")) for i in range(30)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns(
+        {c: F.lit("x") for c in ("words", "n", "canonical", "said", "id")}).repartition(4)
+    got = {(r["canonical"], r["reason"]) for r in url_filter.listed_pages(df).collect()}
+    want, first = set(), {}
+    for i, url, html in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
+        w = words(html)
+        if not url or "://" not in url or len(w) < 50:
+            continue
+        at = url.split("://")[1].split("?")[0].rstrip("/")
+        if len(set(w)) < len(w) / 4:
+            want.add((at, "junk"))
+        if first.setdefault(tuple(w), at) != at:
+            want.add((at, "copy"))
+    assert got == want and ("a.com/junk", "junk") in got and ("b.com/same", "copy") in got and len(got) == 32
+    assert not {u for u, _ in got} & {"a.com/good", "copies.com/0", "c.com/short"}
+    assert url_filter.listed_pages(df.limit(0)).count() == 0
+    # A list beyond the broadcast bound: the same rows by the shuffled filter.
+    listed = url_filter.listed_pages(df)
+    wide = url_filter.filter_urls(df, listed, [], max_blocks=0)
+    assert wide.exceptAll(url_filter.filter_urls(df, listed, [])).count() == 0 and wide.filter("listed").count() == 33
+
+
 def test_template_markup():
     a = license_scan.Automaton("<<opt>>the<<end>> red <<any:2>> fox <<opt>>runs <<opt>>very<<end>> fast<<end>>")
     say = lambda t, i=0: a.longest(t.encode().split(), i)
@@ -109,6 +156,48 @@ def test_template_markup():
             license_scan.Automaton(bad)
 
 
+def said(wording, options):
+    """A text of the wording, with or without its optional words; replaceable words are as many as allowed, or none."""
+    while "<<opt>>" in wording:
+        wording = re.sub(r"<<opt>>((?:(?!<<opt>>|<<end>>).)*)<<end>>", r" \1 " if options else " ", wording)
+    return re.sub(r"<<any:(\d+)>>", lambda m: "zzz " * int(m[1]) if options else "", wording).split()
+
+
+def as_pattern(wording):
+    """The wording as a regular expression over words that each end in one space."""
+    out = []
+    for mark, word in re.findall(r"<<(opt|end|any:\d+)>>|([^<\s]+)", wording):
+        out.append("(?:" if mark == "opt" else ")?" if mark == "end" else rf"(?:\S+ ){{0,{mark[4:]}}}" if mark else word + " ")
+    return re.compile("".join(out))
+
+
+@pytest.mark.parametrize("label,wording", license_scan.TEMPLATES)
+def test_templates_are_whole(label, wording):
+    """Every mandatory word taken out or replaced, optional words changed, against a regular expression."""
+    a, pattern = license_scan.Automaton(wording), as_pattern(wording)
+    bare, full = said(wording, False), said(wording, True)
+    taken = lambda w: a.longest([x.encode() for x in w], 0) if w and w[0].encode() in a.starts else None
+    assert taken(bare) == len(bare) and taken(full) == len(full) and taken(["x", *full]) is None
+    texts = [w[:i] + c + w[i + 1:] for w in (bare, full) for i in range(len(w)) for c in ([], ["qqq"], [w[i], "qqq"])]
+    for w in texts:
+        m = pattern.match("".join(x + " " for x in w))
+        # The expression takes the first way, the automaton the longest: an end of the one is no end less than the other.
+        assert (taken(w) is None) == (m is None), w
+        assert m is None or taken(w) >= len(m[0].split())
+    assert sum(taken(bare[:i] + bare[i + 1:]) is None for i in range(len(bare))) >= len(bare) - 3
+
+
+def test_changed_licenses_are_not_accepted(frame):
+    whole = " ".join(said(license_scan.MIT, True))
+    texts = [whole, whole.replace("merchantability", ""), whole.replace("without limitation", "with limitation"),
+             f"{license_scan.BSD_CONDITIONS} {license_scan.BSD_THIRD} {license_scan.BSD_DISCLAIMER}",
+             f"{license_scan.BSD_CONDITIONS} {license_scan.BSD_DISCLAIMER}", license_scan.gnu_notice("affero ", "3"),
+             "Licensed under CC BY-SA 4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."]
+    texts[3:6] = [" ".join(said(t, True)) for t in texts[3:6]]
+    got = {r["doc_id"]: r["labels"] for r in license_scan.scan_licenses(frame([(i, t, None, None) for i, t in enumerate(texts)])).collect()}
+    assert [got[i] for i in range(8)] == ["mit", "", "", "bsd-3-clause", "bsd-2-clause", "agpl-3.0,gpl", "cc-by-sa-4.0", "cc-by-4.0"]
+
+
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
 
