@@ -3,23 +3,24 @@
 A text's fingerprints are the smallest k-gram hash of every run of ``window - k + 1`` consecutive k-grams.  Which one is
 chosen depends on those words alone, so two texts that share ``window`` consecutive words share a fingerprint.  Training
 fingerprints meet those of the benchmark in a join; each meeting point is then extended word by word to both sides, and
-a span counts if it reaches ``window`` words.  Items shorter than that are looked up whole, by their own length.
+a span counts if it reaches ``window`` words.  Items shorter than that are looked up whole, wherever their first word
+stands.  Texts are read once for all of it.  A Bloom filter of the benchmark's hashes keeps the other words from becoming
+rows; a row carries the few words around its place, never the text, and items with the same words there meet it as one.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from proplens.llm.common import GAPS, plain_words, text_key, words_between, written
+from proplens.llm.common import GAPS, forget, plain_words, text_key, words_between, written
 
 #: Fingerprints are one long: 33 bits of hash above 30 bits of position (a text of 2 GB has fewer words than 2**30).
 POS_BITS = 30
 HASH_MASK = (1 << 33) - 1
-#: Rows of benchmark fingerprints up to which they are broadcast (under 20 MB); beyond, both sides are shuffled.
-BROADCAST_ROWS = 50_000
+#: Longs of a Bloom filter at most (64 KB; two bits a hash, all in one long): 4 % of other hashes pass it at 50,000, more
+#: beyond.  Those that pass meet nothing in the join.
+BLOOM_LONGS = 1 << 13
 
 
 def grams(words: Column, n: int) -> Column:
@@ -48,54 +49,96 @@ def exploded(df: DataFrame, packed: str, *cols: str) -> DataFrame:
                        F.col("print").bitwiseAND((1 << POS_BITS) - 1).cast("int").alias("at"))
 
 
-def _run(a: Column, b: Column, a_at: Column, b_at: Column, step: int, n: int) -> Column:
-    """How many of the next ``n`` words, going ``step`` from the given places, are the same."""
-    same = lambda i: F.get(a, a_at + step * i) == F.get(b, b_at + step * i)
-    out = F.lit(n)
-    for i in range(n - 1, -1, -1):
-        out = F.when(F.coalesce(same(i), F.lit(False)), out).otherwise(F.lit(i))
-    return out
+class Bloom:
+    """A Bloom filter of the column ``hash`` (``HASH_MASK`` bits), made by Spark as one small array."""
 
+    def __init__(self, hashes: DataFrame):
+        rows = hashes.agg(F.approx_count_distinct("hash")).first()[0]
+        self.longs = min(BLOOM_LONGS, 1 << max(rows // 2, 1).bit_length())
+        longs = hashes.select(self._slot(F.col("hash")).alias("slot"), self._bits(F.col("hash")).alias("bits")).groupBy(
+            "slot").agg(F.bit_or("bits").alias("bits")).collect()  # at most BLOOM_LONGS rows
+        found = {r["slot"]: r["bits"] for r in longs}
+        self.empty = not found
+        self.array = F.split(F.lit(",".join(str(found.get(i, 0)) for i in range(self.longs))), ",").cast("array<bigint>")
 
-def _meet(texts: DataFrame, packed: str, items: DataFrame) -> DataFrame:
-    """k1, k2, words, at and the items' columns wherever a fingerprint of a text is one of an item.
+    def _slot(self, hash: Column) -> Column:
+        return hash.bitwiseAND(self.longs - 1).cast("int")
 
-    Items counted to be few are broadcast, and a text's words stay where they were read.  Otherwise the fingerprints are
-    shuffled alone, and each distinct text comes back for those that met.
-    """
-    if items.count() <= BROADCAST_ROWS:
-        return exploded(texts, packed, "k1", "k2", "words").join(F.broadcast(items), "hash")
-    met = written(exploded(texts, packed, "k1", "k2").join(items, "hash").distinct(), "met")
-    return texts.select("k1", "k2", "words").dropDuplicates(["k1", "k2"]).join(met, ["k1", "k2"])
+    def _bits(self, hash: Column) -> Column:
+        def one(from_bit: int) -> Column:
+            return F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(hash, from_bit).bitwiseAND(63).cast("int"))
+        return one(14).bitwiseOR(one(20))
 
+    def may_have(self, hash: Column) -> Column:
+        return F.get(self.array, self._slot(hash)).bitwiseAND(self._bits(hash)) == self._bits(hash)
 
-def contaminated_spans(docs: DataFrame, items: DataFrame, text_col: str, window: int, k: int) -> DataFrame:
-    """k1, k2, item_id, begin, end: the spans of words of a text that stand in an item, repeats left out."""
-    texts = docs.select(*text_key(F.col(text_col)), plain_words(F.col(text_col)).alias("words"))
+
+def _hash_of(words: Column, seed: int = 0) -> Column:
+    return F.xxhash64(*([F.lit(seed)] if seed else []), words).bitwiseAND(HASH_MASK)
+
+
+def item_phrases(items: DataFrame, window: int, k: int) -> DataFrame:
+    """hash, near, near_at, phrase, item_id: what of the items texts are compared with.
+
+    Of an item of ``window`` words or more a row for each fingerprint, with the words around it (width - 1 to its left,
+    ``window`` from its start on); a shorter one whole, with near_at -1.  Rows with the same words have the same phrase.
+    """
     width = window - k + 1
-    full = items.filter(F.size("item_words") >= window).select(
+    long = items.filter(F.size("item_words") >= window).select(
         "item_id", "item_words", winnowed(grams(F.col("item_words"), k), width).alias("prints"))
-    # Of an item only the words around the fingerprint travel: width - 1 to its left, window from its start on.
     begin = F.greatest(F.col("at") - (width - 1), F.lit(0))
-    full = written(exploded(full, "prints", "item_id", "item_words").select(
-        "item_id", "hash", F.slice("item_words", begin + 1, window + width - 1).alias("near"),
-        (F.col("at") - begin).alias("near_at")), "item-prints")
-    prints = texts.withColumn("packed", grams(F.col("words"), k)).withColumn("prints", winnowed(F.col("packed"), width))
-    hits = _meet(prints, "prints", full)
-    w, near, at, near_at = (F.col(c) for c in ("words", "near", "at", "near_at"))
-    hits = hits.withColumn("left", _run(w, near, at - 1, near_at - 1, -1, width - 1)).withColumn(
-        "right", _run(w, near, at, near_at, 1, window))
-    found = [hits.filter((F.col("right") >= k) & (F.col("left") + F.col("right") >= window)).select(
-        "k1", "k2", "item_id", (at - F.col("left")).alias("begin"), (at + F.col("right")).alias("end"))]
-    # Items of fewer words than a window: at most window - 1 lengths, each looked up among the grams of that length.
-    short = items.filter((F.size("item_words") > 0) & (F.size("item_words") < window))
-    for (n,) in sorted(short.select(F.size("item_words")).distinct().collect()):
-        whole = exploded(short.filter(F.size("item_words") == n).select(
-            "item_id", "item_words", grams(F.col("item_words"), n).alias("prints")), "prints", "item_id", "item_words")
-        every = texts.withColumn("packed", grams(F.col("words"), n))
-        found.append(_meet(every, "packed", whole.drop("at")).filter(F.slice("words", at + 1, n) == F.col("item_words")).select(
-            "k1", "k2", "item_id", at.alias("begin"), (at + n).alias("end")))
-    return reduce(DataFrame.unionByName, found)
+    long = exploded(long, "prints", "item_id", "item_words").select(
+        "item_id", "hash", F.slice("item_words", begin + 1, window + width - 1).alias("near"), (F.col("at") - begin).alias("near_at"))
+    short = items.filter((F.size("item_words") > 0) & (F.size("item_words") < window)).select(
+        "item_id", _hash_of(F.col("item_words"), window).alias("hash"), F.col("item_words").alias("near"), F.lit(-1).alias("near_at"))
+    # Words hold no spaces: the key says the place and the words exactly.
+    return long.unionByName(short).withColumn("phrase", F.concat_ws(" ", F.col("near_at").cast("string"), F.col("near"))).distinct()
+
+
+def contaminated_spans(docs: DataFrame, phrases: DataFrame, text_col: str, window: int, k: int) -> DataFrame:
+    """k1, k2, phrase, begin, end: the spans of words of a text that stand in a phrase of ``item_phrases``."""
+    width = window - k + 1
+    texts = docs.select(*text_key(F.col(text_col)), plain_words(F.col(text_col)).alias("words"))
+    texts = texts.withColumn("packed", grams(F.col("words"), k))
+    hash_of = lambda p: F.shiftright(p, POS_BITS)
+    bloom = Bloom(phrases.filter("near_at >= 0"))
+    known = lambda p: bloom.may_have(hash_of(p))
+    none = F.array().cast("array<bigint>")
+    # A text none of whose k-grams may be an item's fingerprint is not winnowed at all.
+    prints = F.when(F.exists("packed", known), F.filter(winnowed(F.col("packed"), width), known)).otherwise(none)
+    short = phrases.filter("near_at < 0")
+    lengths = sorted(n for (n,) in short.select(F.size("near")).distinct().collect())  # fewer than window
+    if lengths:
+        whole, first = Bloom(short), Bloom(short.select(_hash_of(F.get("near", F.lit(0))).alias("hash")))
+        words = F.col("words")
+        starts = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: first.may_have(_hash_of(F.get(words, i))))
+        texts = texts.withColumn("starts", F.when(F.size(words) > 0, starts).otherwise(F.array().cast("array<int>")))
+        places = F.flatten(F.transform("starts", lambda i: F.array(*[
+            F.when(i + n <= F.size(words), F.shiftleft(_hash_of(F.slice(words, i + 1, n), window), POS_BITS).bitwiseOR(
+                i.cast("long"))) for n in lengths])))
+        prints = F.concat(prints, F.filter(places, lambda p: p.isNotNull() & whole.may_have(hash_of(p))))
+    begin = F.greatest(F.col("at") - (width - 1), F.lit(0))
+    rows = exploded(texts.withColumn("prints", prints), "prints", "k1", "k2", "words").select(
+        "k1", "k2", "hash", "at", F.slice("words", begin + 1, window + width - 1).alias("here"), (F.col("at") - begin).alias("here_at"))
+    # Spark broadcasts the phrases where their bytes allow; else rows are shuffled with the words around their place.
+    hits = rows.filter("hash IS NOT NULL").join(phrases.select("hash", "near", "near_at", "phrase").distinct(), "hash")
+    here, near, at, here_at, near_at = (F.col(c) for c in ("here", "near", "at", "here_at", "near_at"))
+    hits = hits.withColumn("left", _run(here, near, here_at - 1, near_at - 1, -1, width - 1)).withColumn(
+        "right", _run(here, near, here_at, near_at, 1, window))
+    is_short = near_at < 0
+    met = F.when(is_short, F.slice(here, here_at + 1, F.size(near)) == near).otherwise(
+        (F.col("right") >= k) & (F.col("left") + F.col("right") >= window))
+    return hits.filter(met).select("k1", "k2", "phrase", F.when(is_short, at).otherwise(at - F.col("left")).alias("begin"),
+                                   (at + F.when(is_short, F.size(near)).otherwise(F.col("right"))).alias("end")).distinct()
+
+
+def _run(a: Column, b: Column, a_at: Column, b_at: Column, step: int, n: int) -> Column:
+    """How many of the next ``n`` words, going ``step`` from the given places, are the same."""
+    same = lambda i: F.get(a, a_at + step * i) == F.get(b, b_at + step * i)
+    out = F.lit(n)
+    for i in range(n - 1, -1, -1):
+        out = F.when(F.coalesce(same(i), F.lit(False)), out).otherwise(F.lit(i))
+    return out
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -104,7 +147,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """One row per input row: doc_id, n_words, n_hit, items (sorted identifiers), spans, contaminated.
 
     A span is ``[begin, end)`` in words, from 0.  Null and empty texts have no words and no hits; an item without words
-    is in no text; a null item_id counts as an item but has no name in ``items``.  Items of equal text, and repeated
+    is in no text; the words of an item with a null item_id are hit, but ``items`` doesn't name it.  Items of equal text, and repeated
     items, are all named, each name once.  Rows with equal text share one result, found once.  ``extra`` columns are
     carried along.  An empty benchmark hits nothing, an empty table gives no rows.
     """
@@ -112,9 +155,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         raise ValueError("k is at least 1 and at most the window")
     items = benchmark.select(F.col(item_col).cast("string").alias("item_id"),
                              plain_words(F.col(item_text_col)).alias("item_words"))
-    hit = written(contaminated_spans(docs, items, text_col, window, k).groupBy("k1", "k2").agg(
-        F.sort_array(F.collect_set("item_id")).alias("items"),
-        F.sort_array(F.collect_set(F.struct("begin", "end"))).alias("spans")), "spans")
+    phrases = written(item_phrases(items, window, k), "item-phrases")
+    met = written(contaminated_spans(docs, phrases, text_col, window, k), "phrase-spans")
+    names = met.select("k1", "k2", "phrase").distinct().join(phrases.select("phrase", "item_id").distinct(), "phrase").groupBy(
+        "k1", "k2").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+    hit = written(met.groupBy("k1", "k2").agg(F.sort_array(F.collect_set(F.struct("begin", "end"))).alias("spans")).join(
+        names, ["k1", "k2"]), "spans")
+    forget(phrases)
+    forget(met)
     places = F.flatten(F.transform("spans", lambda s: F.sequence(s["begin"], s["end"] - 1)))
     hit = hit.select("k1", "k2", "items", "spans", F.size(F.array_distinct(places)).cast("long").alias("n_hit"))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.size(words_between(F.col(text_col), GAPS)).cast("long").alias("n_words"),
