@@ -23,6 +23,8 @@ from proplens.llm.common import text_key, written
 
 #: Windows of a spread bucket that are handed on at once.
 SPREAD_WINDOWS = 8192
+#: Parts that the texts holding one spread window are dealt to.
+SALTS = 64
 #: Bytes of text that are hashed at once; a longer document is handled whole.
 BLOCK_BYTES = 2 << 20
 #: A null identifier is later than any other.
@@ -262,8 +264,12 @@ def repeated_spans(scan: DataFrame, docs: DataFrame, text_col: str, id_col: str,
 
     single = suspects.filter(F.exists("spans", lambda s: s["hot"])).mapInArrow(pack(True), schema).mapInArrow(
         unpack, "k1 long, k2 long, doc_id long, begin int, digest binary")
-    first = single.groupBy("digest").agg(F.min("doc_id").alias("first"))
-    spread = single.join(first, "digest").filter("doc_id > first").select(
+    # A window that very many texts hold is dealt to SALTS parts; a part learns the smallest identifier of all.
+    single = single.withColumn("salt", F.pmod(F.xxhash64("k1", "begin"), F.lit(SALTS)))
+    parts = single.groupBy("digest", "salt").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+    first = parts.groupBy("digest").agg(F.min("least").alias("first"), F.max("most").alias("last")).filter("first < last")
+    late = parts.join(first, "digest").filter("most > first").select("digest", "salt", "first")
+    spread = single.join(late, ["digest", "salt"]).filter("doc_id > first").select(
         "k1", "k2", "begin", (F.col("begin") + window).alias("end"))
     return suspects, ordinary.unionByName(spread)
 
