@@ -124,11 +124,12 @@ def leaky(rows):
     return items, rows + extra
 
 
-@pytest.mark.parametrize("limit", [None, 0])
+@pytest.mark.parametrize("longs", [None, 1])
 @pytest.mark.parametrize("source", ["edge_docs", "sf_docs"])
-def test_decontaminate(spark, frame, request, source, limit, monkeypatch):
-    if limit is not None:
-        monkeypatch.setattr(D, "BROADCAST_ROWS", limit)
+def test_decontaminate(spark, frame, request, source, longs, monkeypatch):
+    """Also with Bloom filters that are full: they let everything through and the join decides."""
+    if longs is not None:
+        monkeypatch.setattr(D, "BLOOM_LONGS", longs)
     items, rows = leaky(request.getfixturevalue(source))
     bench = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "'x' AS hash", "'y' AS words")
     got = D.decontaminate(frame(rows), bench).collect()
@@ -179,3 +180,23 @@ def test_substring_buckets_are_bounded_by_windows(frame):
     assert sorted(map(tuple, spread)) == sorted(map(tuple, sorted_))
     got = {r["doc_id"]: (r["n_words"], r["n_removed"]) for r in spread}
     assert got == {1: (6000, 0), 2: (4002, 4000), 3: (20, 0)}
+
+
+def test_decontaminate_stock_phrase_and_short_items(spark, frame):
+    """Items that share a phrase are all named; a short item counts wherever it stands, its first word alone doesn't."""
+    stock = "the following ten words stand in each of these many items"
+    items = [(i, f"{stock} number {i}") for i in range(50)] + [(None, f"{stock} without a name"), (60, "the end"), (61, "of")]
+    rows = [(1, f"so {stock} and the end", None, None), (2, "the the the end of the", None, None), (3, "the ends", None, None),
+            (4, f"so {stock} and the end", None, None)]
+    got = D.decontaminate(frame(rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    named = [(n, t) for n, t in items if n is not None]
+    want = sorted((r[0], *hits_by_windows(r[1], named, 10)) for r in rows)
+    assert sorted((r["doc_id"], r["n_words"], r["n_hit"], list(r["items"])) for r in got) == want
+
+
+def test_substring_window_of_very_many_texts(frame):
+    """One passage in many texts: all but the smallest identifier's lose it, whichever part they are dealt to."""
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(i, f"own{i} {passage} tail{i}", None, None) for i in range(3, 300)]
+    got = substring_dedup.substring_dedup(frame(rows), bucket_rows=10).collect()
+    assert {r["doc_id"]: r["n_removed"] for r in got} == {3: 0} | {i: 60 for i in range(4, 300)}
