@@ -18,17 +18,26 @@ from proplens.llm.common import GAPS, forget, plain_words, text_key, words_betwe
 #: Fingerprints are one long: 33 bits of hash above 30 bits of position (a text of 2 GB has fewer words than 2**30).
 POS_BITS = 30
 HASH_MASK = (1 << 33) - 1
-#: Longs of a Bloom filter at most (64 KB; two bits a hash, all in one long): 4 % of other hashes pass it at 50,000, more
-#: beyond.  Those that pass meet nothing in the join.
+#: Longs of a Bloom filter at most (64 KB; three bits a hash, all in one long): under one of 10,000 other hashes passes at
+#: 5,000 fingerprints, 2 % at 50,000, more beyond.  Those that pass meet nothing in the join.
 BLOOM_LONGS = 1 << 13
 
 
+def gram_hashes(words: Column, n: int) -> Column:
+    """The 64-bit hash of every n-gram; empty for shorter texts."""
+    return F.when(F.size(words) >= n, F.transform(
+        F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.xxhash64(F.slice(words, i, n)))).otherwise(
+        F.array().cast("array<bigint>"))
+
+
+def placed(hashes: Column) -> Column:
+    """hash << 30 | position of every hash."""
+    return F.transform(hashes, lambda h, i: F.shiftleft(h.bitwiseAND(HASH_MASK), POS_BITS).bitwiseOR(i.cast("long")))
+
+
 def grams(words: Column, n: int) -> Column:
     """hash << 30 | position of every n-gram; empty for shorter texts."""
-    return F.when(F.size(words) >= n, F.transform(
-        F.sequence(F.lit(0), F.size(words) - n),
-        lambda i: F.shiftleft(F.xxhash64(F.slice(words, i + 1, n)).bitwiseAND(HASH_MASK), POS_BITS)
-        .bitwiseOR(i.cast("long")))).otherwise(F.array().cast("array<bigint>"))
+    return placed(gram_hashes(words, n))
 
 
 def winnowed(packed: Column, width: int) -> Column:
@@ -50,27 +59,30 @@ def exploded(df: DataFrame, packed: str, *cols: str) -> DataFrame:
 
 
 class Bloom:
-    """A Bloom filter of the column ``hash`` (``HASH_MASK`` bits), made by Spark as one small array."""
+    """A Bloom filter of the column ``hash`` (its low 32 bits), made by Spark as one small array."""
 
     def __init__(self, hashes: DataFrame):
         rows = hashes.agg(F.approx_count_distinct("hash")).first()[0]
-        self.longs = min(BLOOM_LONGS, 1 << max(rows // 2, 1).bit_length())
-        longs = hashes.select(self._slot(F.col("hash")).alias("slot"), self._bits(F.col("hash")).alias("bits")).groupBy(
-            "slot").agg(F.bit_or("bits").alias("bits")).collect()  # at most BLOOM_LONGS rows
+        self.longs = min(BLOOM_LONGS, 1 << (4 * rows).bit_length())
+        hash = F.col("hash")
+        bits = F.call_function("shiftleft", F.lit(1).cast("long"), self._at(hash, 14))
+        for from_bit in (20, 26):
+            bits = bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), self._at(hash, from_bit)))
+        longs = hashes.select(self._slot(hash).alias("slot"), bits.alias("bits")).groupBy("slot").agg(
+            F.bit_or("bits").alias("bits")).collect()  # at most BLOOM_LONGS rows
         found = {r["slot"]: r["bits"] for r in longs}
-        self.empty = not found
         self.array = F.split(F.lit(",".join(str(found.get(i, 0)) for i in range(self.longs))), ",").cast("array<bigint>")
 
     def _slot(self, hash: Column) -> Column:
         return hash.bitwiseAND(self.longs - 1).cast("int")
 
-    def _bits(self, hash: Column) -> Column:
-        def one(from_bit: int) -> Column:
-            return F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(hash, from_bit).bitwiseAND(63).cast("int"))
-        return one(14).bitwiseOR(one(20))
+    def _at(self, hash: Column, from_bit: int) -> Column:
+        return F.shiftright(hash, from_bit).bitwiseAND(63).cast("int")
 
     def may_have(self, hash: Column) -> Column:
-        return F.get(self.array, self._slot(hash)).bitwiseAND(self._bits(hash)) == self._bits(hash)
+        """Bit by bit: nearly all other hashes fail at the first."""
+        bit = lambda n: F.bit_get(F.get(self.array, self._slot(hash)), self._at(hash, n)) == 1
+        return bit(14) & bit(20) & bit(26)
 
 
 def _hash_of(words: Column, seed: int = 0) -> Column:
@@ -84,8 +96,8 @@ def item_phrases(items: DataFrame, window: int, k: int) -> DataFrame:
     ``window`` from its start on); a shorter one whole, with near_at -1.  Rows with the same words have the same phrase.
     """
     width = window - k + 1
-    long = items.filter(F.size("item_words") >= window).select(
-        "item_id", "item_words", winnowed(grams(F.col("item_words"), k), width).alias("prints"))
+    long = items.filter(F.size("item_words") >= window).withColumn("packed", grams(F.col("item_words"), k)).select(
+        "item_id", "item_words", winnowed(F.col("packed"), width).alias("prints"))
     begin = F.greatest(F.col("at") - (width - 1), F.lit(0))
     long = exploded(long, "prints", "item_id", "item_words").select(
         "item_id", "hash", F.slice("item_words", begin + 1, window + width - 1).alias("near"), (F.col("at") - begin).alias("near_at"))
@@ -99,13 +111,13 @@ def contaminated_spans(docs: DataFrame, phrases: DataFrame, text_col: str, windo
     """k1, k2, phrase, begin, end: the spans of words of a text that stand in a phrase of ``item_phrases``."""
     width = window - k + 1
     texts = docs.select(*text_key(F.col(text_col)), plain_words(F.col(text_col)).alias("words"))
-    texts = texts.withColumn("packed", grams(F.col("words"), k))
+    texts = texts.withColumn("hashes", gram_hashes(F.col("words"), k))
     hash_of = lambda p: F.shiftright(p, POS_BITS)
     bloom = Bloom(phrases.filter("near_at >= 0"))
-    known = lambda p: bloom.may_have(hash_of(p))
-    none = F.array().cast("array<bigint>")
-    # A text none of whose k-grams may be an item's fingerprint is not winnowed at all.
-    prints = F.when(F.exists("packed", known), F.filter(winnowed(F.col("packed"), width), known)).otherwise(none)
+    # A text none of whose k-grams may be an item's fingerprint has none of them: only the others are winnowed.
+    winnow = F.get(F.transform(F.array(placed(F.col("hashes"))), lambda g: winnowed(g, width)), F.lit(0))
+    prints = F.when(F.exists("hashes", bloom.may_have), F.filter(winnow, lambda p: bloom.may_have(hash_of(p)))).otherwise(
+        F.array().cast("array<bigint>"))
     short = phrases.filter("near_at < 0")
     lengths = sorted(n for (n,) in short.select(F.size("near")).distinct().collect())  # fewer than window
     if lengths:
