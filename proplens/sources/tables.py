@@ -48,10 +48,9 @@ def sales_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
 
-    j = (li.join(o, li.l_orderkey == o.o_orderkey)
-           .join(p, li.l_partkey == p.p_partkey)
-           .join(c, o.o_custkey == c.c_custkey)
-           .join(n, c.c_nationkey == n.n_nationkey))
+    # Orders meet their customers by themselves, so that lineitem's rows are shuffled by order and by part only.
+    bought = o.join(c.join(n, c.c_nationkey == n.n_nationkey), o.o_custkey == c.c_custkey)
+    j = li.join(bought, li.l_orderkey == bought.o_orderkey).join(p, li.l_partkey == p.p_partkey)
 
     list_price = F.col("l_extendedprice") * 60
     null_d = F.lit(None).cast("double")

@@ -376,3 +376,17 @@ def test_nan_counts_as_missing_everywhere(spark):
     m = metrics.regression_metrics(df.withColumnsRenamed({"x": "ActualClosePrice", "y": "PredictedClosePrice"})).first()
     assert (m["ObservationCount"], m["MAE"], m["RMSE"]) == (2, 1.0, 1.0) and m["MdAPE"] == pytest.approx(66.666667)
     assert quantiles.exact_median(df, "x").first()[0] == 2.0
+
+
+def test_sales_view_shuffles_lineitem_by_order_and_part_only(spark, monkeypatch):
+    from proplens.sources.tables import sales_view
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = sales_view(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    customer = [line for line in plan.splitlines() if "Exchange hashpartitioning(o_custkey" in line]
+    assert customer and "l_orderkey" not in customer[0]
+    depth = lambda text: next(i for i, line in enumerate(plan.splitlines()) if text in line)
+    assert depth("hashpartitioning(l_partkey") < depth("hashpartitioning(l_orderkey") < depth("hashpartitioning(o_custkey")
