@@ -390,3 +390,24 @@ def test_sales_view_shuffles_lineitem_by_order_and_part_only(spark, monkeypatch)
     assert customer and "l_orderkey" not in customer[0]
     depth = lambda text: next(i for i, line in enumerate(plan.splitlines()) if text in line)
     assert depth("hashpartitioning(l_partkey") < depth("hashpartitioning(l_orderkey") < depth("hashpartitioning(o_custkey")
+
+
+def test_column_quantile_is_exact_quantiles(spark, monkeypatch):
+    """Medians of columns side by side: as numpy's, for ties, brackets of one value, few and no values; no row per value."""
+    import numpy as np
+
+    from proplens.operators import quantiles as Q
+    rng = np.random.default_rng(3)
+    n = 24_001
+    cols = {"wide": rng.normal(size=n), "ties": rng.integers(0, 4, n).astype(float), "split": np.r_[np.zeros(n // 2), np.ones(n - n // 2)],
+            "few": np.where(np.arange(n) < 7, rng.normal(size=n), np.nan), "none": np.full(n, np.nan), "even": rng.normal(size=n)}
+    cols["even"][0] = np.nan
+    rows = [tuple(None if np.isnan(v) and i % 2 else float(v) for v in r) for i, r in enumerate(zip(*cols.values()))]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in cols))
+    sent, picked = [], Q._picked
+    monkeypatch.setattr(Q, "_picked", lambda counts, *a: sent.append(counts.count()) or picked(counts, *a))
+    got = Q.column_quantile(df, list(cols), 0.5)
+    for (c, v), g in zip(cols.items(), got):
+        v = v[~np.isnan(v)]
+        assert g == (np.median(v) if len(v) else None), c
+    assert sent and sent[0] < 200
