@@ -38,6 +38,7 @@ def scan_union_months(spark, sf):
 
 
 DRIFT_MONTH = "199801"
+DRIFT_DAY = f"{DRIFT_MONTH[:4]}-{DRIFT_MONTH[4:]}-01"
 
 
 @query("scan_drifting_months", with_ctes() + f"""
@@ -49,12 +50,13 @@ def scan_drifting_months(spark, sf):
     """Months before the layout change lack a column; the union fills it with NULL."""
     root = scratch_path(spark, "monthly_feed_layouts")
     seg = S.segment(spark, sf).withColumn("CloseMonth", F.date_format("CloseDate", "yyyyMM"))
-    old = seg.where(F.col("CloseMonth") < DRIFT_MONTH).select(*S.CORE_COLUMNS, "CloseMonth")
-    new = seg.where(F.col("CloseMonth") >= DRIFT_MONTH).select(*S.CORE_COLUMNS, "ElementarySchool", "CloseMonth")
-    files.write_csv(old, f"{root}/old", partition_by=["CloseMonth"])
-    files.write_csv(new, f"{root}/new", partition_by=["CloseMonth"])
-    # The month list is calendar-sized.
-    months = [r[0] for r in seg.select("CloseMonth").distinct().collect()]
+    # By day, not by month's text: the scans skip what lies on the other side.
+    old, new = split.split_by_date(seg, "CloseDate", DRIFT_DAY)
+    files.write_csv(old.select(*S.CORE_COLUMNS, "CloseMonth"), f"{root}/old", partition_by=["CloseMonth"])
+    files.write_csv(new.select(*S.CORE_COLUMNS, "ElementarySchool", "CloseMonth"), f"{root}/new", partition_by=["CloseMonth"])
+    # The month list is calendar-sized; a day's text is made once, not for every row.
+    days = seg.groupBy("CloseDate").agg(F.count(F.lit(1))).withColumn("CloseMonth", F.date_format("CloseDate", "yyyyMM"))
+    months = [r[0] for r in days.select("CloseMonth").distinct().where("CloseMonth IS NOT NULL").collect()]
     old_paths = [f"{root}/old/CloseMonth={m}" for m in sorted(months) if m < DRIFT_MONTH]
     new_paths = [f"{root}/new/CloseMonth={m}" for m in sorted(months) if m >= DRIFT_MONTH]
     new_schema = T.StructType([*files.CORE_SCHEMA.fields, T.StructField("ElementarySchool", T.StringType())])
