@@ -63,3 +63,18 @@ def test_format_half_even_on_unrounded(spark):
     df = spark.createDataFrame([(0.125, 1234567.891)], "a double, b double")
     r = df.select(X.format_ratio("a", 2), X.format_money("b"), X.format_percent("a", 2)).first()
     assert r[0] == "0.12" and r[1] == "$1,234,567.89" and r[2] == "0.12%"
+
+
+def test_wide_projections_are_compiled_unless_the_session_says_otherwise(spark):
+    from proplens.session import compiled_methods
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name, None)
+    try:
+        spark.conf.unset(name)
+        compiled_methods(spark)
+        assert spark.conf.get(name) == "8000"
+        spark.conf.set(name, "20000")
+        compiled_methods(spark)
+        assert spark.conf.get(name) == "20000"
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
